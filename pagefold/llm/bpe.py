@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pagefold.llm.common import only, small_batches
 
@@ -256,7 +257,7 @@ def decode(encoded: DataFrame, vocab_path: str, ids: str = "ids", out: str = "te
     """Adds the text that an array of ids stands for; null ids give null. The column `out` must be new."""
     if out in encoded.columns:
         raise ValueError(f"column {out} is there already")
-    at, schema = encoded.columns.index(ids), encoded.schema.add(out, "string")
+    at, schema = encoded.columns.index(ids), StructType([*encoded.schema.fields, StructField(out, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab_path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import bpe, exact_dedup, simhash, token_counts, token_store
+from pagefold.llm import bpe, exact_dedup, mixing, secrets, simhash, token_counts, token_store, toxicity
 from pagefold.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -33,6 +33,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.train(secrets.samples(spark)))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(token_store.write(table(spark, sf_dir, "documents"), vocab(WORD_BPE), end_id=2))
 
@@ -43,9 +55,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": op3,
         "op4_exact_dedup": op4,
         "op5_simhash": op5,
+        "op6_mixing": op6,
+        "op8_secrets": op8,
+        "op9_toxicity": op9,
         "op10_token_store": op10,
     }
 
 
+#: Equal texts by the group of their lower-cased bytes.
+EXACT_SQL = """
+with plain as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+  doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+from plain
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can express; the other queries are tested against brute force."""
+    return {"op4_exact_dedup": EXACT_SQL, "op6_mixing": mixing.SQL}
