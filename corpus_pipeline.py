@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import bpe, exact_dedup, simhash
+from pagefold.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from pagefold.llm.common import table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the machine doesn't find toxic; it learns from the labels of rows not held out."""
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(docs)
 
@@ -19,13 +24,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.dedup(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mix(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_exact_copies),
     ("simhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
     ("bpe encoding", encode),
 ]
 

@@ -27,7 +27,7 @@ from pagefold.llm.common import only, small_batches
 #: The public pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space that Unicode has beyond ASCII, with the separators that Python's own patterns count as space.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
 #: White space and the run of other characters after it: no match of PATTERN crosses such a border.
 UNIT = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 LONG = 64

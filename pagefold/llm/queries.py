@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagefold.llm import bpe, exact_dedup, mixing, secrets, simhash, token_counts, token_store, toxicity
+from pagefold.llm import bpe, exact_dedup, html_extract, knn, mixing, secrets, simhash, token_counts, token_store, toxicity
 from pagefold.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocab(BYTE_BPE))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), vocab(BYTE_BPE))
 
@@ -37,6 +41,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), secrets.train(secrets.samples(spark)))
 
@@ -52,10 +60,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1,
+        "op2_html_extract": op2,
         "op3_bpe": op3,
         "op4_exact_dedup": op4,
         "op5_simhash": op5,
         "op6_mixing": op6,
+        "op7_knn": op7,
         "op8_secrets": op8,
         "op9_toxicity": op9,
         "op10_token_store": op10,
@@ -73,4 +83,4 @@ from plain
 
 def oracle_sql() -> dict[str, str]:
     """What SQL can express; the other queries are tested against brute force."""
-    return {"op4_exact_dedup": EXACT_SQL, "op6_mixing": mixing.SQL}
+    return {"op4_exact_dedup": EXACT_SQL, "op6_mixing": mixing.SQL, "op7_knn": knn.SQL}
