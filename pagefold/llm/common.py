@@ -100,3 +100,30 @@ def keep_marked(docs: DataFrame, key: str, sign: Column, marks: DataFrame) -> Da
         return out.select(*back)
     tied = out.join(pick(again, n_again), meets, "left_semi").groupBy(F.col(f"`{key}`").alias("__k"), "__row_sign").agg(F.max(F.struct(*back)).alias("__row")).select("__row.*")
     return out.join(pick(again, n_again), meets, "left_anti").select(*back).unionByName(tied)
+
+
+class Memo(dict):
+    """What a Python worker remembers of words: those of the latest generations, so that frequent words stay.
+
+    When it holds `most` words it begins anew, and takes words over from the generation before as they come up again.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.before = most, {}
+
+    def missing(self, words: set, turn: bool = True) -> list:
+        """The words to be worked out; afterwards and until the next call with `turn`, all others are here."""
+        new = words.difference(self)
+        if turn and len(self) + len(new) > self.most:
+            self.before = dict(self)
+            self.clear()
+            new = words
+        get, out = self.before.get, []
+        for w in new:
+            v = get(w)
+            if v is None:
+                out.append(w)
+            else:
+                self[w] = v
+        return out

@@ -13,6 +13,7 @@ import json
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,16 +26,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pagefold.llm.common import fresh_path, only, small_batches
+from pagefold.llm.bpe import byte_symbols
+from pagefold.llm.common import Memo, fresh_path, only, small_batches
 
 MAGIC = b"WAVEMAT1"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
 #: Ids in a shard, give or take a document's.
 SHARD_IDS = 1 << 20
 BLOCK = 512  # bits between two entries of a plane's rank directory
 #: No match of the tokenizer's own splitting crosses ASCII white space, which it drops.
 WORDS = re.compile(r"[^ \t\n\r\f\v]+")
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: What keeps a text from being lower-cased and cut into pieces here: characters beyond Latin-1, what may be a special
+#: token, apostrophes, and white space of other kinds.
+OTHER = re.compile(r"[^\x00-\xff]|<\||'|[\x1c-\x1f\x85\xa0]")
+#: Runs of Latin-1 letters, and of what is neither letter nor white space: pieces that encode on their own, but for
+#: an apostrophe, which the library's splitting may join with letters after it.
+PIECES = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \t\n\r\f\v]+")
+LETTERS = re.compile(r"[a-zªµºß-öø-ÿ]+")
 
 
 class WaveletMatrix:
@@ -152,7 +160,11 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
 
 
 class WordCoder:
-    """The library's encoder, asked once for each distinct run of non-space characters."""
+    """The library's encoder, asked once for each distinct word.
+
+    Runs of non-space characters encode on their own. Most texts are cut further, into runs of letters and other runs;
+    words of letters are asked for straight from the library's model, as each is one piece of its splitting.
+    """
 
     def __init__(self, path: str):
         import os
@@ -163,17 +175,33 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
+        self.memo: Memo = Memo(MEMO_WORDS)
+        # only a file that lower-cases, drops white space and splits off runs of letters may be asked in bare words
+        probe = self.tokenizer.encode_batch(["Ab ,ab", "ab , ab"], add_special_tokens=False)
+        self.bare = probe[0].ids == probe[1].ids and probe[0].word_ids == [0, 1, 2]
+        self.byte_level = {chr(c): "".join(byte_symbols()[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.byte_level = str.maketrans(self.byte_level)
+
+    def words(self, text: str) -> list[str]:
+        if self.bare and not OTHER.search(text):
+            return PIECES.findall(text.lower())
+        return WORDS.findall(text)
+
+    def ask(self, new: list[str]) -> None:
+        """Puts new runs into the memo."""
+        memo, tokenize, rest = self.memo, self.tokenizer.model.tokenize, []
+        for w in new:
+            if self.bare and LETTERS.fullmatch(w):
+                memo[w] = array("I", [t.id for t in tokenize(w if w.isascii() else w.translate(self.byte_level))]).tobytes()
+            else:
+                rest.append(w)
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            memo[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        words = [t.split() if t.isascii() and not SEPARATORS.search(t) else WORDS.findall(t) for t in texts]
-        memo, distinct = self.memo, {w for ws in words for w in ws}
-        new = list(distinct.difference(memo))
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = list(distinct)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
+        words = [self.words(t) for t in texts]
+        self.ask(self.memo.missing({w for ws in words for w in ws}))
+        memo = self.memo
         return [b"".join([memo[w] for w in ws]) for ws in words]
 
 
@@ -255,5 +283,6 @@ def read(shards: DataFrame, key: str = "doc_id", kind: str = "bigint", with_ids:
                 out = {key: pd.Series(keys, dtype="Int64" if "int" in kind else object), "start": starts + start, "n_tokens": lengths, "ids_crc32": [zlib.crc32(p.tobytes()) for p in parts]}
                 yield pd.DataFrame(out | ({"ids": [p.astype(np.int32) for p in parts]} if with_ids else {}))
 
-    # one shard a task: shards are large and the manifest is small
-    return shards.select("where", "path", "start").repartition(F.col("path")).mapInPandas(run, schema)
+    # shards are large and the manifest is small: a given number of partitions keeps Spark from putting it into one
+    tasks = max(1, min(shards.count(), 20_000))
+    return shards.select("where", "path", "start").repartition(tasks, F.col("path")).mapInPandas(run, schema)
