@@ -91,13 +91,20 @@ def map_lines(left: list[str], right: list[str], weak: float = 0.45, second: flo
     return sorted(pairs), findings
 
 
+def in_order(frame: pd.DataFrame, order: str, text: str) -> tuple[list, list[str]]:
+    """Ordinals and texts of a side of a page; a page that one side lacks has none."""
+    if not len(frame):
+        return [], []
+    frame = frame.sort_values(order)
+    return frame[order].tolist(), frame[text].fillna("").tolist()
+
+
 def align_pages(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str, full: bool = False) -> DataFrame:
     """by, left_no, right_no, how: a full outer pairing of the lines of two versions of each page."""
     schema = left.select(*by).schema.simpleString()[7:-1] + ", left_no bigint, right_no bigint, how string"
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(order), b.sort_values(order)
-        x, y = a[text].fillna("").tolist(), b[text].fillna("").tolist()
+        (no_a, x), (no_b, y) = in_order(a, order, text), in_order(b, order, text)
         if full:
             pairs, findings = map_lines(x, y)
             rows = [(i, j, how) for i, j, how in pairs] + [(i, None, "left") if kind == "left only" else (None, i, "right") for kind, i in findings if kind != "weak"]
@@ -105,7 +112,6 @@ def align_pages(left: DataFrame, right: DataFrame, by: list[str], order: str, te
             matched, one, two = align(x, y)
             rows = [(i, j, "aligned") for i, j in matched] + [(i, None, "left") for i in one] + [(None, j, "right") for j in two]
         head = (a if len(a) else b)[by].iloc[0].tolist()
-        no_a, no_b = a[order].tolist(), b[order].tolist()
         out = [(*head, None if i is None else no_a[i], None if j is None else no_b[j], how) for i, j, how in rows]
         return pd.DataFrame(out, columns=[*by, "left_no", "right_no", "how"]).astype({"left_no": "Int64", "right_no": "Int64"})
 
@@ -117,7 +123,7 @@ def line_diff(left: DataFrame, right: DataFrame, by: list[str], order: str, text
     schema = left.select(*by).schema.simpleString()[7:-1] + ", block bigint, k bigint, before string, after string"
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = (f.sort_values(order)[text].fillna("").tolist() for f in (a, b))
+        x, y = (in_order(f, order, text)[1] for f in (a, b))
         head, rows = (a if len(a) else b)[by].iloc[0].tolist(), []
         for block, (tag, a0, a1, b0, b1) in enumerate(difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes()):
             if tag != "equal":
