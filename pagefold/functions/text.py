@@ -16,13 +16,12 @@ Rule = Callable[[Column], Column]
 
 
 def _form(form: str) -> Callable[[Column], Column]:
-    @F.pandas_udf("string")
     def normal(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: t if t is None else unicodedata.normalize(form, t))
 
     def apply(c: Column) -> Column:
         # Python sees only what can change: ASCII is in every normal form
-        return F.when(c.rlike(r"[^\x00-\x7f]"), normal(F.when(c.rlike(r"[^\x00-\x7f]"), c))).otherwise(c)
+        return F.when(c.rlike(r"[^\x00-\x7f]"), F.pandas_udf(normal, "string")(F.when(c.rlike(r"[^\x00-\x7f]"), c))).otherwise(c)
 
     return apply
 

@@ -11,6 +11,7 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql.group import GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,6 +100,11 @@ def in_order(frame: pd.DataFrame, order: str, text: str) -> tuple[list, list[str
     return frame[order].tolist(), frame[text].fillna("").tolist()
 
 
+def pages_of(lines: DataFrame, by: list[str], order: str, text: str) -> GroupedData:
+    """Lines by page, under columns of their own: two versions may come from one table."""
+    return lines.select(*[F.col(c).alias(c) for c in (*by, order, text)]).groupBy(*by)
+
+
 def align_pages(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str, full: bool = False) -> DataFrame:
     """by, left_no, right_no, how: a full outer pairing of the lines of two versions of each page."""
     schema = left.select(*by).schema.simpleString()[7:-1] + ", left_no bigint, right_no bigint, how string"
@@ -115,7 +121,7 @@ def align_pages(left: DataFrame, right: DataFrame, by: list[str], order: str, te
         out = [(*head, None if i is None else no_a[i], None if j is None else no_b[j], how) for i, j, how in rows]
         return pd.DataFrame(out, columns=[*by, "left_no", "right_no", "how"]).astype({"left_no": "Int64", "right_no": "Int64"})
 
-    return left.select(*by, order, text).groupBy(*by).cogroup(right.select(*by, order, text).groupBy(*by)).applyInPandas(run, schema)
+    return pages_of(left, by, order, text).cogroup(pages_of(right, by, order, text)).applyInPandas(run, schema)
 
 
 def line_diff(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str) -> DataFrame:
@@ -133,7 +139,7 @@ def line_diff(left: DataFrame, right: DataFrame, by: list[str], order: str, text
                         rows.append((*head, block, k, before, after))
         return pd.DataFrame(rows, columns=[*by, "block", "k", "before", "after"])
 
-    return left.select(*by, order, text).groupBy(*by).cogroup(right.select(*by, order, text).groupBy(*by)).applyInPandas(run, schema)
+    return pages_of(left, by, order, text).cogroup(pages_of(right, by, order, text)).applyInPandas(run, schema)
 
 
 def spread_characters(clusters: list[str], final: str) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,16 +12,35 @@ from pagefold.functions import charsets as cs
 from pagefold.functions import text as tx
 
 
+def bound(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
+    """then(struct of the values), with each value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(F.struct(*[v.alias(n) for n, v in values.items()])), then), 1)
+
+
 def is_noise(c: Column, letters: str = cs.ARABIC_LETTERS, marks: str = cs.DIACRITICS_BOOK) -> Column:
     """Lines that hold no language: blank; no letters (unless digits alone); few letters among other signs; mostly
-    words of one or two letters."""
-    bare = F.regexp_replace(F.regexp_replace(c, f"[{marks}]", ""), r"(?U)[^\w]", "")
-    n = F.length(F.regexp_replace(bare, f"[^{letters}]", ""))
-    words = F.filter(F.split(tx.strip(c), r"(?U)\s+"), lambda w: F.length(w) > 0)
-    short = F.filter(words, lambda w: F.length(F.regexp_replace(w, rf"(?U)[{marks}]|[^\w]", "")) <= 2)
-    few = (n / F.greatest(F.length(bare), F.lit(1)) < 0.5) & (n < 6)
-    choppy = (F.size(words) >= 4) & (F.size(short) / F.size(words) > 0.75)
-    return F.when(tx.strip(c) == "", True).when(n == 0, ~bare.rlike(r"^\p{Nd}+$")).otherwise(few | choppy)
+    words of one or two letters.
+
+    Sizes come from counts, so that no stripped copy of a line is made but for lines of few letters.
+    """
+    word = rf"[\p{{L}}\p{{N}}_\p{{M}}&&[^{marks}]]"
+    n = F.regexp_count(c, F.lit(f"[{letters}]"))
+    # short: words whose first two word characters are all that they have
+    values = {"n": n, "all": F.regexp_count(c, F.lit(word)), "words": F.regexp_count(c, F.lit(r"(?U)\S+"))}
+
+    def judge(v: Column) -> Column:
+        choppy = (v["words"] >= 4) & (short_words(c, word) / v["words"] > 0.75)
+        few = (v["n"] / F.greatest(v["all"], F.lit(1)) < 0.5) & (v["n"] < 6)
+        digits = (v["all"] > 0) & (F.regexp_count(c, F.lit(r"\p{Nd}")) == v["all"])
+        return F.when(v["words"] == 0, True).when(v["n"] == 0, ~digits).otherwise(few | choppy)
+
+    return bound(values, judge)
+
+
+def short_words(c: Column, word: str) -> Column:
+    """Number of the words of at most two word characters."""
+    other = rf"(?:(?!{word})\S)*+"
+    return F.regexp_count(c, F.lit(rf"(?U)(?<!\S){other}(?:{word}{other}){{0,2}}(?!\S)"))
 
 
 def is_marker_line(c: Column, longest: int = 10, chars: str = cs.MARKER_LINE) -> Column:

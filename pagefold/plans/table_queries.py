@@ -28,12 +28,16 @@ def asof_marker(spark: SparkSession, d: str) -> DataFrame:
 
 ASOF_MARKER = "select event_id, last_value(case when event_type = 'signup' then event_id end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as last_signup from events"
 
-_T = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+def _t():
+    """Seconds of an event."""
+    return F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+
+
 _DUCK_T = "epoch_us(ts) / 1e6"
 
 
 def _clicks(spark: SparkSession, d: str, kind: str, id_: str, t: str) -> DataFrame:
-    return read(spark, d, "events").filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(id_), _T.alias(t))
+    return read(spark, d, "events").filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(id_), _t().alias(t))
 
 
 def nearest_join(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +58,7 @@ ANTI_OVERLAP = f"select event_id as click_id, user_id from events where event_ty
 
 def overlap_join(spark: SparkSession, d: str) -> DataFrame:
     """Intervals of clicks and of views of a user, as long as their value says, that share more than a minute."""
-    e = read(spark, d, "events").select("user_id", "event_type", "event_id", _T.alias("a"), (_T + F.col("value") * 60).alias("b"))
+    e = read(spark, d, "events").select("user_id", "event_type", "event_id", _t().alias("a"), (_t() + F.col("value") * 60).alias("b"))
     left = e.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("left_id"), "a", "b")
     right = e.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("right_id"), F.col("a").alias("c"), F.col("b").alias("d"))
     return spatial.overlap_join(left, right, ["user_id"], ("a", "c"), ("b", "d"), 20_000.0, 60.0).select("left_id", "right_id", F.round(F.least("b", "d") - F.greatest("a", "c"), 3).alias("shared"))
@@ -66,7 +70,7 @@ where least(l.b, r.b) - greatest(l.a, r.a) > 60"""
 
 
 def gap_segments(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("user_id", "event_id", _T.alias("a"), (_T + F.col("value") * 60).alias("b"))
+    e = read(spark, d, "events").select("user_id", "event_id", _t().alias("a"), (_t() + F.col("value") * 60).alias("b"))
     s = bands.gap_segments(e, ["user_id"], "a", "b", ["a", "event_id"], 3600.0)
     return s.groupBy("user_id", "segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("b") - F.min("a"), 3).alias("length"))
 
@@ -107,7 +111,7 @@ SINGLE_SEPARATORS = "select event_id, event_type from (select *, lag(event_type)
 
 
 def overlaid_tokens(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("user_id", "event_id", _T.alias("x"), (F.col("value") * 400).alias("w"))
+    e = read(spark, d, "events").select("user_id", "event_id", _t().alias("x"), (F.col("value") * 400).alias("w"))
     ranked = e.withColumn("o", F.row_number().over(Window.partitionBy("user_id").orderBy("x", "event_id")).cast("bigint"))
     return bands.overlaid(ranked, ["user_id"], "x", "w", "o", least=600.0).groupBy("user_id").agg(F.sum(F.col("overlaid").cast("bigint")).alias("n_overlaid"), F.count(F.lit(1)).alias("n"))
 
@@ -134,7 +138,7 @@ select p_partkey, cast(sum(change) as bigint) as n_runs, count(*) as n_chars fro
 
 def word_pass_merge(spark: SparkSession, d: str) -> DataFrame:
     """Events as words of two readings: even ids first, odd ones second; the better of two in one place stays."""
-    e = read(spark, d, "events").select("user_id", "event_id", (_T / 3600).alias("x0"), (_T / 3600 + 2).alias("x1"), (F.col("event_id") % 30).cast("double").alias("y0"), F.col("event_type").alias("text"), F.col("value").alias("conf"))
+    e = read(spark, d, "events").select("user_id", "event_id", (_t() / 3600).alias("x0"), (_t() / 3600 + 2).alias("x1"), (F.col("event_id") % 30).cast("double").alias("y0"), F.col("event_type").alias("text"), F.col("value").alias("conf"))
     out = spatial.merge_passes(e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1"), ["user_id"], ["event_id"], (12.0, 12.0, 14.0))
     return out.select("event_id", "text", F.round("conf", 6).alias("conf"), "source")
 

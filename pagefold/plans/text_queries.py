@@ -25,7 +25,7 @@ def weighted_lines(spark: SparkSession, d: str) -> DataFrame:
     lines = doc_lines(spark, d).filter(~quality.is_noise(F.col("line"), LATIN, cs.DIACRITICS_BOOK))
     words = F.size(F.filter(F.split(tx.strip(F.col("line")), r"(?U)\s+"), lambda w: w != ""))
     conf = read(spark, d, "labels").select("doc_id", (F.col("quality") * 60.0 + 35.0).alias("conf"))
-    return lines.withColumn("n_words", words).join(conf, "doc_id", "left").select("doc_id", "line_no", "n_words", F.coalesce("conf", F.lit(50.0)).alias("conf"), F.length("line").alias("n_chars")).orderBy("doc_id", "line_no")
+    return lines.withColumn("n_words", words).join(conf, "doc_id", "left").select("doc_id", "line_no", "n_words", F.coalesce("conf", F.lit(50.0)).alias("conf"), F.length("line").alias("n_chars"))
 
 
 _BARE = rf"regexp_replace(regexp_replace(line, '[{cs.DIACRITICS_BOOK}]', '', 'g'), '[^\p{{L}}\p{{N}}\p{{M}}_]', '', 'g')"
