@@ -9,8 +9,8 @@ word can be told from an insult with the same start.
 
 A sentence is known by its best word for each landmark; these values, whitened by the landmarks' own kernel matrix
 (Nystrom), go to a linear support vector machine. It is trained on the sentences of labelled documents: those of clean
-documents are clean, those of toxic documents begin as toxic, and each round takes out the ones that the machine
-finds clean, except the worst of each document. A document's score is a logistic function of its worst sentence and of
+documents are clean, those of toxic documents that come nearest to a telling stem begin as toxic, and each round takes in and out
+what the machine finds, but for the worst of each document. A document's score is a logistic function of its worst sentence and of
 the toxic sentences and different toxic words found, so that one look-alike in a long clean text weighs little.
 """
 
@@ -36,8 +36,11 @@ LAMBDA, SPAN, FLOOR = 0.7, 8, 0.15
 SAMPLE_ROWS, SAMPLE_SENTENCES = 2500, 300
 #: Landmarks, the stems among which they are chosen, and the letters that a stem has.
 LANDMARKS, CANDIDATES, STEM = 32, 3000, range(4, 10)
-#: Log-likelihood ratio (nats) from which a stem tells the classes apart by more than chance among very many stems.
-TELLING = 12.0
+#: Log-likelihood ratio (nats) from which a stem tells the classes apart by more than chance among very many stems, and
+#: its least share of the best stem's: copies of documents make chance stems look telling.
+TELLING, TELLING_SHARE = 12.0, 0.06
+#: Margin from which a sentence or word counts as toxic.
+SURE = 0.5
 #: Whole words of clean documents that become landmarks beside each stem.
 LOOKALIKES = 2
 #: Prefixes of a word that are compared at first, and, where one has any value, next; from LONG_WORD letters on a word is
@@ -45,6 +48,8 @@ LOOKALIKES = 2
 FIRST, NEXT, LONG_WORD, WINDOW = (4, 6), (5, 7, 8, 9, 10), 20, 12
 MEMO_WORDS, MEMO_PIECES = 400_000, 200_000
 THRESHOLD = 0.7
+#: Cost of misjudging all sentences of both classes, against the squared length of the weights.
+COST = 20_000.0
 WORDS = re.compile(WORD)
 #: Three or more single characters in a row: a word spelt out.
 SPELT = re.compile(r"(?<!\S)(?:[^\W\d_][ .\-_*]{1,2}){2,}[^\W\d_](?![^\W_])")
@@ -247,7 +252,7 @@ def of_document(margins: np.ndarray, words: np.ndarray, rest: float, n: float) -
     """What a document is judged by: margins of the sentences and of the different words that have any value, the
     margin of other sentences, and how many sentences there are."""
     worst = max([*margins.tolist(), *([rest] if n > len(margins) else [])])
-    bad, different = float((margins > 0).sum()), float((words > 0).sum())
+    bad, different = float((margins > SURE).sum()), float((words > SURE).sum())
     return [float(np.clip(worst, -1.5, 1.5)), float(np.log1p(bad)), bad / max(n, 1.0) ** 0.5, bad / max(n, 1.0), float(np.log1p(different)), different / max(n, 1.0) ** 0.5]
 
 
@@ -332,7 +337,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     shares = written(shares, "shares")
     telling = F.greatest(*[surprise(F.col(u), F.col(d), float(sizes[1]), float(sizes[0])) for u, d in (("up", "down"), ("up2", "down2"))])
     ordered = shares.filter("not endswith(w, '$')").withColumn("s", F.round(telling, 6)).filter(F.col("s") >= TELLING).orderBy(F.col("s").desc(), F.length("w").desc(), "w").limit(CANDIDATES)
-    top = choose([r["w"] for r in ordered.collect()], landmarks)
+    found = ordered.collect()
+    top = choose([r["w"] for r in found if r["s"] >= TELLING_SHARE * found[0]["s"]], landmarks)
     if not top:
         return Model(None, prior=sizes[1] / (sizes[0] + sizes[1]))
     alike = shares.filter("endswith(w, '$') and down > 0").withColumn("stem", F.try_element_at(F.filter(F.array(*[F.lit(t) for t in top]), lambda t: F.startswith(F.col("w"), t)), F.lit(1))).filter("stem is not null")
@@ -360,9 +366,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     value, vector = np.linalg.eigh(gram)
     whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
     z = x @ whiten
-    bad, w = y == 1, None
+    # at first those sentences of toxic documents are toxic that come nearest to a telling stem
+    near = x[:, [not t.endswith("$") for t in top]].max(1)
+    nearest = np.zeros(of.max() + 1)
+    np.maximum.at(nearest, of, near)
+    bad, w = (y == 1) & (near >= np.minimum(nearest[of], 0.9)) & (near > 0), None
+    if not bad.any():
+        bad = y == 1
     for _ in range(12):
-        weight = np.where(bad, 0.5 / max(1, m[bad].sum()), 0.5 / max(1, m[~bad].sum())) * m * 1000
+        weight = np.where(bad, 0.5 / max(1, m[bad].sum()), 0.5 / max(1, m[~bad].sum())) * m * COST
         w = fit_svm(z, np.where(bad, 1.0, -1.0), weight)
         margin = z @ w[:-1] + w[-1]
         worst = np.full(of.max() + 1, -np.inf)
