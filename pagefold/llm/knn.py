@@ -41,6 +41,8 @@ def quantised(lists: list, width: int) -> np.ndarray:
 def best(scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest integer scores of each row, in order; ties to the earlier place. Fewer than k columns: all."""
     n = scores.shape[1]
+    if n and int(np.abs(scores).max(initial=0)) * n >= 1 << 62:  # too large for that
+        return np.argsort(-scores, axis=1, kind="stable")[:, :k]
     ordered = scores.astype(np.int64) * n + np.arange(n - 1, -1, -1)  # one number for score and place
     if n > k:
         at = np.argpartition(-ordered, k - 1, axis=1)[:, :k]
