@@ -354,12 +354,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
                 best, words = best[:SAMPLE_SENTENCES], words[:SAMPLE_SENTENCES]
                 x = np.concatenate([*([np.zeros((1, len(top)))] if rest else []), best, words])
                 m = np.array([min(rest, SAMPLE_SENTENCES)] * bool(rest) + [1] * len(best) + [0] * len(words), np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(x)), pa.array([y] * len(x), pa.int32()), pa.array(m), pa.array(list(x), pa.list_(pa.float64()))], ["k", "y", "m", "x"])
+                packed = [r.tobytes() for r in x.astype("<f4")]
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(x)), pa.array([y] * len(x), pa.int32()), pa.array(m), pa.array(packed, pa.binary())], ["k", "y", "m", "x"])
 
     kind = sample.schema["k"].dataType.simpleString()
-    rows_ = sample.mapInArrow(features, f"k {kind}, y int, m double, x array<double>").collect()
-    rows_.sort(key=lambda r: (r["k"], -r["m"], r["x"]))
-    every = np.unique([r["k"] for r in rows_], return_inverse=True)[1], np.array([r["y"] for r in rows_]), np.array([r["m"] for r in rows_]), np.array([r["x"] for r in rows_])
+    rows_ = sample.mapInArrow(features, f"k {kind}, y int, m double, x binary").collect()
+    rows_.sort(key=lambda r: (r["k"], -r["m"], bytes(r["x"])))
+    packed = np.frombuffer(b"".join([r["x"] for r in rows_]), "<f4").reshape(len(rows_), len(top)).astype(float)
+    every = np.unique([r["k"] for r in rows_], return_inverse=True)[1], np.array([r["y"] for r in rows_]), np.array([r["m"] for r in rows_]), packed
     of, y, m, x = (c[every[2] > 0] for c in every)  # sentences; words have a weight of 0
     gram = kernel.values(top)
     gram = (gram + gram.T) / 2
