@@ -36,9 +36,9 @@ SHARD_IDS = 1 << 20
 BLOCK = 512  # bits between two entries of a plane's rank directory
 #: No match of the tokenizer's own splitting crosses ASCII white space, which it drops.
 WORDS = re.compile(r"[^ \t\n\r\f\v]+")
-#: What keeps a text from being lower-cased and cut into pieces here: characters beyond Latin-1, what may be a special
-#: token, apostrophes, and white space of other kinds.
-OTHER = re.compile(r"[^\x00-\xff]|<\||'|[\x1c-\x1f\x85\xa0]")
+#: White space besides ASCII's, and separators that Python's patterns may count as such, within Latin-1.
+ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+ODD_LATIN_SPACE = ("\x85", "\xa0")
 #: Runs of Latin-1 letters, and of what is neither letter nor white space: pieces that encode on their own, but for
 #: an apostrophe, which the library's splitting may join with letters after it.
 PIECES = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \t\n\r\f\v]+")
@@ -159,6 +159,20 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
     return WaveletMatrix(header["n"], header["zeros"], [planes[k * width : (k + 1) * width] for k in range(depth)]), header["doc_ids"], header["lengths"]
 
 
+def in_pieces(text: str) -> bool:
+    """Whether a text can be lower-cased and cut into pieces here: not with characters beyond Latin-1, what may be a special
+    token, apostrophes, or white space of other kinds. Each test is one pass over memory."""
+    if "'" in text or "<|" in text or any(c in text for c in ODD_SPACE):
+        return False
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(c in text for c in ODD_LATIN_SPACE)
+
+
 class WordCoder:
     """The library's encoder, asked once for each distinct word.
 
@@ -183,7 +197,7 @@ class WordCoder:
         self.byte_level = str.maketrans(self.byte_level)
 
     def words(self, text: str) -> list[str]:
-        if self.bare and not OTHER.search(text):
+        if self.bare and in_pieces(text):
             return PIECES.findall(text.lower())
         return WORDS.findall(text)
 
@@ -200,9 +214,9 @@ class WordCoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         words = [self.words(t) for t in texts]
-        self.ask(self.memo.missing({w for ws in words for w in ws}))
-        memo = self.memo
-        return [b"".join([memo[w] for w in ws]) for ws in words]
+        self.ask(self.memo.missing(set().union(*words)))
+        of = self.memo.__getitem__
+        return [b"".join(map(of, ws)) for ws in words]
 
 
 @lru_cache(2)
