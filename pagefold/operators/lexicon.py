@@ -43,11 +43,14 @@ def gram_index(lexicon: DataFrame, word: str = "word", both: bool = False) -> Da
     return lexicon.select(word, F.explode(grams(F.col(word), both=both)).alias("gram"))
 
 
-def candidates(words: DataFrame, lexicon: DataFrame, pool: int = 400, both: bool = False) -> DataFrame:
-    """word, candidate, shared: the `pool` lexicon words that share most n-grams with each word (ties by candidate)."""
+def candidates(words: DataFrame, lexicon: DataFrame, pool: int | None = 400, both: bool = False) -> DataFrame:
+    """word, candidate, shared: the `pool` lexicon words that share most n-grams with each word (ties by candidate); without
+    a pool, all that share one."""
     asked = words.select("word").distinct()
     pairs = gram_index(asked, both=both).join(gram_index(lexicon.select(F.col("word").alias("candidate")), "candidate", both), "gram")
     counted = pairs.groupBy("word", "candidate").agg(F.count(F.lit(1)).alias("shared"))
+    if pool is None:
+        return counted
     w = Window.partitionBy("word").orderBy(F.col("shared").desc(), "candidate")
     return counted.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= pool).drop("__n")
 

@@ -221,14 +221,14 @@ _CANDIDATES = f"""(select word, candidate, shared from (select *, row_number() o
 
 
 def gram_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=20)
+    return lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=None)
 
 
 GRAM_CANDIDATES = f"select word, candidate, shared from {_CANDIDATES.format(20)}"
 
 
 def bounded_edit(spark: SparkSession, d: str) -> DataFrame:
-    pairs = lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=20)
+    pairs = lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=None)
     return pairs.withColumn("distance", lexicon.within_distance(F.col("word"), F.col("candidate"), 2)).filter("distance is not null").select("word", "candidate", "distance")
 
 

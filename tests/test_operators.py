@@ -262,3 +262,14 @@ def test_docx_runs(spark, tmp_path):
 def test_ratio_is_the_librarys(spark, a, b):
     df = spark.createDataFrame([(a, b)], "a string, b string")
     assert df.select(corpus.similarity(F.col("a"), F.col("b"))).first()[0] == difflib.SequenceMatcher(None, a, b).ratio()
+
+
+def test_all_candidates_meet_the_edit_distance(spark, monkeypatch):
+    """Thirty words share more n-grams with the asked word than the one at distance 1."""
+    from pagefold.plans import text_queries
+
+    near, far = "zbcdefgh", [f"abcdefghij{a}{b}" for a in "klm" for b in "nopqrstuvw"]
+    monkeypatch.setattr(text_queries, "_asked", lambda *_: spark.createDataFrame([("abcdefgh",)], "word string"))
+    monkeypatch.setattr(text_queries, "_small_lexicon", lambda *_: spark.createDataFrame([(w, 1) for w in [near, *far]], "word string, freq bigint"))
+    assert rows(text_queries.bounded_edit(spark, "")) == [("abcdefgh", near, 1)]
+    assert rows(text_queries.gram_candidates(spark, ""), "candidate") == [(w,) for w in sorted([near, *far])]
