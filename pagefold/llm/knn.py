@@ -79,7 +79,10 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     narrow = np.dtype("<i2") if peak < 1 << 15 else np.dtype("<i8")
     cells = max(LEAST_CELLS, -(-n_queries // CELL_QUERIES))
     by_hash = F.xxhash64(F.lit("pivot"), F.col("id"))
-    reference = rows.orderBy(by_hash, "id").limit(max(REFERENCES, cells)).collect()
+    # references are distinct by key, as copies of one key are one neighbour; the least vector stands for its key
+    chosen = rows.select("id").distinct().orderBy(by_hash, "id").limit(max(REFERENCES, cells))
+    reference = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("x").alias("x")).collect()
+    reference.sort(key=lambda r: r["id"])
     ref_ids, refs = np.array([r["id"] for r in reference], np.int64), quantised([r["x"] for r in reference], width)
     pivots = np.unique(refs, axis=0)
     pivots = pivots[np.linspace(0, len(pivots) - 1, min(cells, len(pivots))).astype(int)]
@@ -137,13 +140,14 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
             unpack = lambda col: np.frombuffer(b"".join(col), narrow).reshape(len(col), width).astype(float)
             ids, x, q_ids, y = d["id"].to_numpy(), unpack(d["v"]), q["id"].to_numpy(), unpack(q["v"])
             step = max(1, TILE // len(ids))
+            keys, at_key = np.unique(ids, return_index=True)
             for start in range(0, len(q_ids), step):
                 some = q_ids[start : start + step]
                 s = products(y[start : start + step], x, exact).astype(np.int64)
-                lo, hi = np.searchsorted(ids, some), np.searchsorted(ids, some, "right")
-                own = int((hi - lo).max())
-                at = best(s, k + own) if len(ids) else np.empty((len(some), 0), int)
-                out.append(pd.DataFrame({"query_id": np.repeat(some, at.shape[1]), "vec_id": ids[at].ravel(), "score": np.take_along_axis(s, at, 1).ravel()}))
+                if len(keys) < len(ids):
+                    s = np.maximum.reduceat(s, at_key, axis=1)
+                at = best(s, k + 1)  # one may be the query itself
+                out.append(pd.DataFrame({"query_id": np.repeat(some, at.shape[1]), "vec_id": keys[at].ravel(), "score": np.take_along_axis(s, at, 1).ravel()}))
         out = pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         return out[out["query_id"] != out["vec_id"]]
 

@@ -245,6 +245,13 @@ def test_search(spark):
     assert {tuple(r) for r in knn.search(few).collect()} == {(0, 1, 50, 256 * 768), (0, 2, 1, 256 * 512), (50, 1, 1, 768 * 512), (50, 2, 0, 768 * 256)}
 
 
+def test_search_takes_copies_of_a_key_for_one_neighbour(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.0])] * 8 + [(i, [1.0 - i / 16, 0.0]) for i in range(2, 9)] + [(3, [0.25, 0.0])]
+    rows += [(i, [-1.0, 0.01 * (i % 9)]) for i in range(11, 40)]
+    got = knn.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 1, 256 * 256)] + [(0, i, i, 256 * (256 - 16 * i)) for i in range(2, 6)]
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return secrets.train(secrets.samples(spark, 3000))
