@@ -1,8 +1,8 @@
 """Secret scans on DataFrame functions alone.
 
-Base spans come from three patterns. Character Markov models add what the patterns miss: a run of token characters
-is a secret where random strings explain its transitions far better than ordinary identifiers do. Both models are
-counted from labelled samples, by a DataFrame aggregation too.
+Base spans come from three patterns. Character Markov models add what the patterns miss: a run of token characters,
+or a part of it, is a secret where random strings explain its transitions far better than ordinary identifiers do. What
+base spans leave of a run is judged by itself. Both models are counted from labelled samples, by a DataFrame aggregation too.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ HEX = r"[0-9a-f]{32,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_RATIO = 15.0
+#: Where a part of a run may start and end.
+SEPARATORS = "+/_=-"
 #: Words of ordinary identifiers, from which the sample of negatives is put together.
 IDENTIFIER_WORDS = (
     "account action active address after agent amount answer array author average before binary block board body book border bottom branch "
@@ -141,14 +143,50 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", key: str = "do
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
     size, known = len(ALPHABET), F.lit(ALPHABET)
 
-    def ratio(hit: Column) -> Column:
-        at = lambda i: F.call_function("instr", known, F.call_function("substr", hit, i, F.lit(1)))
-        return F.aggregate(F.sequence(F.lit(1), F.length(hit) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(table, (at(i) - 1) * size + at(i + 1)))
+    def moves(hit: Column) -> Column:
+        """Of each transition the ratio, and whether a part may start at its second character and may end there."""
+        char = lambda i: F.call_function("substr", hit, i, F.lit(1))
+        at = lambda i: F.call_function("instr", known, char(i))
+        apart = lambda i: F.call_function("instr", F.lit(SEPARATORS), char(i)) > 0
+        move = lambda i: F.struct(F.element_at(table, (at(i) - 1) * size + at(i + 1)).alias("ratio"), apart(i).alias("starts"), ((i + 1 >= F.length(hit)) | apart(i + 2)).alias("ends"))
+        return F.transform(F.sequence(F.lit(1), F.length(hit) - 1), move)
+
+    def judged(piece: Column) -> Column:
+        """The whole piece if it is a secret as a whole, else its parts of most weight from separator to separator.
+
+        A part is the best of as many as there are places to start, so it has to reach least_ratio and the logarithm of
+        their number. It ends at its peak once the sum is used up or has fallen by that much: nothing from its peak to
+        there reaches it.
+        """
+        span = lambda start, end, hit: F.struct(start.alias("start"), F.lit(4).alias("kind"), end.alias("end"), hit.alias("hit"))
+        least = least_ratio + F.log(1.0 + F.size(F.filter(piece["moves"], lambda m: m["starts"])))
+        part = lambda acc: span(piece["start"] + acc["from"], piece["start"] + acc["to"], F.call_function("substr", piece["hit"], acc["from"] + 1, acc["to"] - acc["from"]))
+        spans = lambda acc: F.when(acc["peak"] >= least, F.array_append(acc["spans"], part(acc))).otherwise(acc["spans"])
+        state = lambda n, total, first, peak, to, found: F.struct(n.alias("n"), total.alias("sum"), first.alias("from"), peak.alias("peak"), to.alias("to"), found.alias("spans"))
+        zero = F.lit(0.0)
+
+        def step(acc: Column, m: Column) -> Column:
+            total, n = acc["sum"] + m["ratio"], acc["n"] + 1
+            over = m["starts"] & ((total <= 0) | (total <= acc["peak"] - least))
+            higher = m["ends"] & (total > acc["peak"])
+            return F.when(over, state(n, zero, n, zero, n, spans(acc))).otherwise(state(n, total, acc["from"], F.when(higher, total).otherwise(acc["peak"]), F.when(higher, n + 1).otherwise(acc["to"]), acc["spans"]))
+
+        parts = F.aggregate(piece["moves"], state(F.lit(0), zero, F.lit(0), zero, F.lit(0), none), step, spans)
+        total = F.aggregate(piece["moves"], zero, lambda a, m: a + m["ratio"])
+        return F.when(total >= least_ratio, F.array(span(piece["start"], piece["end"], piece["hit"]))).otherwise(parts)
+
+    def outside(run: Column) -> Column:
+        """What base spans leave of a run."""
+        near = F.filter("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+        gap = lambda acc, to: F.when(to - acc["at"] > 1, F.array_append(acc["gaps"], F.struct(acc["at"].alias("start"), to.alias("end")))).otherwise(acc["gaps"])
+        start = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps"))
+        gaps = F.aggregate(near, start, lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), gap(acc, b["start"]).alias("gaps")), lambda acc: gap(acc, run["end"]))
+        return F.transform(gaps, lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end"), F.call_function("substr", run["hit"], g["start"] - run["start"] + 1, g["end"] - g["start"]).alias("hit")))
 
     every = F.concat("assign", "access", "hex")
-    apart = lambda r: ~F.exists(F.col("base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
     rows = rows.withColumn("base", F.array_sort(every))
-    added = F.filter("runs", lambda r: apart(r) & (ratio(r["hit"]) >= least_ratio))
+    pieces = F.transform(F.flatten(F.transform("runs", outside)), lambda p: p.withField("moves", moves(p["hit"])))
+    added = F.flatten(F.transform(pieces, judged))
     rows = rows.withColumn("random", F.when(F.size("runs") > 0, added).otherwise(none))
     found = F.array_sort(F.concat("base", "random"))
     long = lambda c: F.size(c).cast("bigint")

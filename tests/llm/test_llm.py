@@ -281,6 +281,29 @@ def test_secrets(spark, model):
     assert random_hits == {"ghp_16C7e42F292c6912E7710c838347Ae178B4a"}
 
 
+def test_secrets_inside_longer_runs(spark, model):
+    rnd = random.Random(8)
+    token = lambda n: "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    before = ["client_authentication_header_value=", "/config/service/account/", "/usr/local/share/application/settings/default/connection/", "f" * 32 + "_"]
+    rows, secret = [], {}
+    for p in before:
+        for n in (32, 40):
+            for _ in range(25):
+                secret[len(rows)] = (len(p), len(p) + n)
+                rows.append((len(rows), p + token(n) + "/with/ordinary/words/behind/the/secret"))
+    plain = [(1000 + i, p + "with/ordinary/words/behind/the/secret") for i, p in enumerate(before)]
+    two = token(40), token(40)
+    rows_two = [(2000, "/usr/local/share/application/".join(["", two[0] + "/", two[1]]))]
+    found = {r["doc_id"]: [f for f in r["found"] if f["kind"] == 4] for r in secrets.scan(spark.createDataFrame(rows + plain + rows_two, "doc_id bigint, text string"), model, with_spans=True).collect()}
+    # most of the secret's characters are in a span
+    hit = [sum(max(0, min(b, f["end"]) - max(a, f["start"])) for f in found[i]) >= 0.75 * (b - a) for i, (a, b) in secret.items()]
+    assert sum(hit) / len(hit) > 0.95
+    assert not any(found[i] for i, _ in plain)
+    assert len(found[2000]) >= 1 and all(any(t[8:32] in f["hit"] for f in found[2000]) for t in two)
+    texts = dict(rows + plain + rows_two)
+    assert all(texts[i][f["start"] : f["end"]] == f["hit"] for i, fs in found.items() for f in fs)
+
+
 def test_markov_models_tell_random_from_ordinary(spark, model):
     held = secrets.samples(spark, 12000).join(secrets.samples(spark, 3000), ["text", "label"], "left_anti").filter("length(text) >= 20")
     rows = held.selectExpr("row_number() over (order by text) as doc_id", "text", "label").collect()
