@@ -141,11 +141,11 @@ _QUERY = f"(select item_id, unnest(string_split({DUCK_PLAIN.format('coalesce(tex
 INDEX_PROBE = f"select item_id, doc_id, count(*) as hits from {_QUERY} q join {_INDEX} i on q.token = i.token where len(q.token) >= 3 group by item_id, doc_id having count(*) >= 3"
 
 
-def _likeness(spark: SparkSession, d: str) -> DataFrame:
+def _likeness(spark: SparkSession, d: str, least_hits: int = 3) -> DataFrame:
     """Jaccard likeness and cover from sizes and shared counts: no text is moved to the pairs."""
     sizes = lambda df, key, t, n: df.select(key, F.size(F.array_distinct(F.filter(corpus.words_of(F.col(t)), lambda w: F.length(w) >= 3))).alias(n))
     q, docs = _bench(spark, d), _plain_docs(spark, d)
-    shared = corpus.probe(q, ["item_id"], "q", _index(spark, d), ["doc_id"], q_tokens_distinct=True, least_hits=3)
+    shared = corpus.probe(q, ["item_id"], "q", _index(spark, d), ["doc_id"], q_tokens_distinct=True, least_hits=least_hits)
     both = shared.join(sizes(q, "item_id", "q", "n_q"), "item_id").join(sizes(docs, "doc_id", "t", "n_d"), "doc_id")
     return both.withColumn("jaccard", F.col("hits") / (F.col("n_q") + F.col("n_d") - F.col("hits"))).withColumn("cover", F.col("hits") / F.col("n_q"))
 
@@ -173,11 +173,9 @@ RANK_MARGIN = f"""select item_id, doc_id, cast(place as integer) as place, round
 
 
 def ratio_score(spark: SparkSession, d: str) -> DataFrame:
-    """Blended score of the first candidates of each item; only they meet the character ratio."""
-    ranked = corpus.rank(_likeness(spark, d), ["item_id"], "jaccard", ["doc_id"])
-    pairs = ranked.join(_bench(spark, d), "item_id").join(_plain_docs(spark, d), "doc_id")
-    score = corpus.blended(corpus.similarity(F.col("q"), F.substring("t", 1, 1 << 30)), F.col("jaccard"), F.col("cover"), F.col("q"), F.col("t"), F.col("n_q"))
-    return pairs.select("item_id", "doc_id", F.round(score, 6).alias("score"))
+    """The first documents of each item by blended score, among all that share a token."""
+    found = corpus.rank_blended(_likeness(spark, d, least_hits=1), _bench(spark, d), ["item_id"], "q", _plain_docs(spark, d), ["doc_id"], "t")
+    return found.select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
 
 def span_search(spark: SparkSession, d: str) -> DataFrame:

@@ -273,3 +273,32 @@ def test_all_candidates_meet_the_edit_distance(spark, monkeypatch):
     monkeypatch.setattr(text_queries, "_small_lexicon", lambda *_: spark.createDataFrame([(w, 1) for w in [near, *far]], "word string, freq bigint"))
     assert rows(text_queries.bounded_edit(spark, "")) == [("abcdefgh", near, 1)]
     assert rows(text_queries.gram_candidates(spark, ""), "candidate") == [(w,) for w in sorted([near, *far])]
+
+
+def test_ratio_score_ranks_all_candidates(spark, monkeypatch):
+    """A long text that holds the item, and one with a single token in common, against a score of every pair."""
+    from pagefold.plans import text_queries
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(3, 6))) for _ in range(60)]
+    items = [(i, " ".join(rnd.sample(words, 4))) for i in range(6)] + [(6, "unseen hapax")]
+    docs = [(i, " ".join(rnd.choices(words, k=rnd.choice([3, 5, 8, 30])))) for i in range(60)]
+    docs += [(100 + i, " ".join([*rnd.choices(words, k=90), t, *rnd.choices(words, k=90)])) for i, t in items] + [(200, "hapax")]
+    frame = lambda r, k, t: spark.createDataFrame(r, f"{k} bigint, {t} string")
+    monkeypatch.setattr(text_queries, "_bench", lambda *_: frame(items, "item_id", "q"))
+    monkeypatch.setattr(text_queries, "_plain_docs", lambda *_: frame(docs, "doc_id", "t"))
+    monkeypatch.setattr(text_queries, "_index", lambda *_: corpus.inverted_index(frame(docs, "doc_id", "t"), ["doc_id"], "t"))
+    want = []
+    for i, q in items:
+        scores = []
+        for d, t in docs:
+            x, y = set(q.split()), set(t.split())
+            if not x & y:
+                continue
+            s = 0.6 * difflib.SequenceMatcher(None, q, t).ratio() + 0.4 * len(x & y) / len(x | y)
+            s = max(s, 0.92) if q in t or t in q else s
+            cover = len(x & y) / len(x)
+            scores.append((-max(s, 0.75 + 0.2 * cover) if cover >= 0.8 and len(x) >= 3 else -s, d))
+        want += [(i, d, round(-s, 6)) for s, d in sorted(scores)[:6]]
+    assert rows(text_queries.ratio_score(spark, "")) == sorted(want, key=repr)
+    assert sum(d == 100 + i for i, d, _ in want) >= 4  # long texts with low Jaccard are among the first
