@@ -3,8 +3,8 @@
 Two strings are as alike as the subsequences of three characters that they share, each weighted by LAMBDA to the power
 of the characters it spans; so gapped words, and words with characters put in, stay close to the insult they come
 from. The kernel spans at most SPAN characters, is normalised and squared, and counts as nothing below FLOOR. Landmarks
-are stems, the start of a word marked; a word is compared by its prefixes, the best of which counts, so an insult
-is found under any ending. Whole words that clean documents share with a stem are landmarks too, so that a harmless
+are stems, the start of a word marked; a word is compared by pieces that start at any of its letters, the best of which counts, so an insult
+is found under any ending and behind any other word. Whole words that clean documents share with a stem are landmarks too, so that a harmless
 word can be told from an insult with the same start.
 
 A sentence is known by its best word for each landmark; these values, whitened by the landmarks' own kernel matrix
@@ -43,9 +43,8 @@ TELLING, TELLING_SHARE = 12.0, 0.06
 SURE = 0.5
 #: Whole words of clean documents that become landmarks beside each stem.
 LOOKALIKES = 2
-#: Prefixes of a word that are compared at first, and, where one has any value, next; from LONG_WORD letters on a word is
-#: also cut into windows.
-FIRST, NEXT, LONG_WORD, WINDOW = (4, 6), (5, 7, 8, 9, 10), 20, 12
+#: Lengths of the pieces of a word that are compared beside the rest of it, of which LONG_WORD letters count at most.
+LENGTHS, LONG_WORD = (4, 5, 6, 7, 8, 9, 10, 12), 20
 MEMO_WORDS, MEMO_PIECES = 400_000, 200_000
 THRESHOLD = 0.7
 #: Cost of misjudging all sentences of both classes, against the squared length of the weights.
@@ -70,19 +69,17 @@ def plain(word: str) -> str:
     return "".join([c for c in unicodedata.normalize("NFC", w.translate(LEET)) if c.isalpha()])
 
 
-def first_pieces(word: str) -> list[str]:
-    """What of a plain word is compared at first: short prefixes, a shorter word as a whole, and windows of a long one."""
-    out = [word[:4], word[:6]] if len(word) > 6 else [word[:4], word + "$"] if len(word) > 3 else [word + "$"]
-    if len(word) > LONG_WORD:
-        out += [word[k : k + WINDOW] for k in range(WINDOW // 2, len(word) - WINDOW // 2, WINDOW // 2)]
+def all_pieces(word: str) -> list[str]:
+    """What of a plain word is compared: from each letter that leaves a stem's length, pieces of several lengths, and the
+    rest with its end marked."""
+    out = []
+    for k in range(max(1, len(word) - STEM[0] + 1)):
+        rest = word[k : k + LONG_WORD + 1]
+        out += [rest[:p] for p in LENGTHS if p <= len(rest)]
+        out.append(rest[:LONG_WORD] + "$" * (len(rest) <= LONG_WORD))
     return out
 
 
-def next_pieces(word: str) -> list[str]:
-    """What is compared where a first piece has any value: more prefixes, and the whole with its end marked."""
-    return [*[word[:p] for p in (*FIRST, *NEXT) if p <= len(word)], word[:LONG_WORD] + "$" * (len(word) <= LONG_WORD)]
-
-
 def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """string, code (of three characters) and weight of each subsequence; a string begins with the mark of a start."""
     marked = ["^" + s for s in strings]
@@ -172,18 +169,40 @@ class Kernel:
             out.append(None if not got else np.max(got, axis=0) if len(got) > 1 else got[0])
         return out
 
+    def may_count(self, words: list[str]) -> list[int]:
+        """The words of which a piece may reach FLOOR: all that they share with a landmark, at any start, bounds what a piece shares."""
+        if not words:
+            return []
+        of, code, weight = subsequences([w + "$" for w in words])
+        share = np.zeros((len(words), len(self.landmarks)))
+        # each subsequence once as it stands, once with its first character taken for the mark of a start
+        for row in (self.row_of[code], np.where(code >= CODES**2, self.row_of[code % CODES**2], 0)):
+            hit = np.flatnonzero(row)
+            hit = hit[np.argsort(of[hit], kind="stable")]
+            if len(hit):
+                first = np.flatnonzero(np.append(True, np.diff(of[hit]) > 0))
+                share[of[hit][first]] += np.add.reduceat(self.table[row[hit]] * weight[hit, None], first, axis=0)
+        # a piece's own kernel is at least the sum of its squared weights, which grows with its length
+        own = lambda n: sum(max(0, n - k) * (k - 1) * LAMBDA ** (2 * k + 2) for k in range(2, SPAN))
+        least = np.array([own(min(len(w), STEM[0]) + 1) for w in words])
+        return np.flatnonzero(((share > 0) & (share**2 >= FLOOR * least[:, None] * (1 - 1e-9))).any(1)).tolist()
+
     def learn(self, words: set[str]) -> None:
         """Makes sure that the memo has these words; memos start anew when they are full."""
         new = list(words.difference(self.memo))
-        if len(self.memo) + len(new) > MEMO_WORDS or len(self.pieces) > MEMO_PIECES:
+        if len(self.memo) + len(new) > MEMO_WORDS:
             self.memo, self.pieces, self.rows, new = {}, {}, self.rows[:1], list(words)
         letters = [plain(w) for w in new]
-        first = self.of_pieces([first_pieces(w) for w in letters])
         self.memo.update(dict.fromkeys(new, 0))
-        near = [i for i, v in enumerate(first) if v is not None]
-        for i, v in zip(near, self.of_pieces([next_pieces(letters[i]) for i in near])):
-            self.memo[new[i]] = len(self.rows)
-            self.rows.append(first[i] if v is None else np.maximum(first[i], v))
+        near = [start + k for start in range(0, len(letters), 5000) for k in self.may_count(letters[start : start + 5000])]
+        for start in range(0, len(near), 1000):
+            part = near[start : start + 1000]
+            for i, v in zip(part, self.of_pieces([all_pieces(letters[i]) for i in part])):
+                if v is not None:
+                    self.memo[new[i]] = len(self.rows)
+                    self.rows.append(v)
+            if len(self.pieces) > MEMO_PIECES:
+                self.pieces = {}
 
     def sentences(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """For each text: best values for each landmark of the sentences that have any, values of the different words that

@@ -370,6 +370,20 @@ def test_kernel_values_are_the_definitions():
             assert abs(got[i, j] - (want if want >= toxicity.FLOOR else 0)) < 1e-9, (w, m)
 
 
+def test_kernel_finds_insults_at_any_letter():
+    kernel = toxicity.Kernel(["idiot", "trash", "scum"])
+    words = ["youidiot", "you-idiot", "you.idiot", "megatrash", "youscum", "iiidddiiiooottt", "tttrrraaassshhh", "riverstone", "window", "a", ""]
+    kernel.learn(set(words))
+    best = {w: kernel.rows[kernel.memo[w]].max() for w in words}
+    assert all(best[w] > 0.99 for w in words[:5]) and all(best[w] >= toxicity.FLOOR for w in words[5:7])
+    # the bound leaves out no word of which a piece has a value
+    rnd = random.Random(3)
+    more = ["".join(rnd.choices("idotrashcum", k=rnd.randint(0, 14))) for _ in range(400)] + [toxicity.plain(w) for w in words]
+    kept = set(kernel.may_count(more))
+    assert all(i in kept for i, w in enumerate(more) if kernel.values(toxicity.all_pieces(w)).any())
+    assert len(kept) < len(more)
+
+
 def test_token_store(docs, empty, tmp_path):
     t, at, want = Tokenizer.from_file(WORD_BPE), 0, collections.Counter()
     for r in sorted(made(), key=lambda r: (r[0], r[1] or "")):
