@@ -252,6 +252,76 @@ def test_search_takes_copies_of_a_key_for_one_neighbour(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 1, 256 * 256)] + [(0, i, i, 256 * (256 - 16 * i)) for i in range(2, 6)]
 
 
+def nearest_by_hand(rows, k=5):
+    """Every pair of different keys in whole numbers of any size."""
+    width = max(len(v) for _, v in rows)
+    whole = [(i, [int(np.floor(256 * c)) if abs(c) < 2.0**45 else int(c) * 256 for c in v] + [0] * (width - len(v))) for i, v in rows]
+    scores = collections.defaultdict(dict)
+    for i, y in whole:
+        for j, x in whole if i % 50 == 0 else ():
+            if i != j:
+                s = max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y))))
+                scores[i][j] = max(scores[i].get(j, s), s)
+    return {(q, n + 1, j, -s) for q, of in scores.items() for n, (s, j) in enumerate(sorted((-s, j) for j, s in of.items())[:k])}
+
+
+def searched(spark, rows, **how):
+    return {tuple(r) for r in knn.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), **how).collect()}
+
+
+def test_search_prunes_clusters(spark):
+    """Most cells of a clustered table never meet, and few vectors are sent; no neighbour is lost."""
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(12, 6)) * 20
+    rows = [(i, (middle[i % 12] + rng.normal(size=6) * 0.3).tolist()) for i in range(900)]
+    figures = {}
+    assert searched(spark, rows, figures=figures) == nearest_by_hand(rows)
+    assert figures["meet"] < 0.25 * figures["cells"] and figures["sent"] < 0.6 * figures["vectors"]
+
+
+def test_search_sends_nothing_twice_where_nothing_prunes(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(rng.normal(size=(600, 24)))]
+    figures = {}
+    assert searched(spark, rows, figures=figures) == nearest_by_hand(rows)
+    assert figures["sent"] <= figures["vectors"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_with_repeated_keys_and_short_vectors(spark, seed):
+    """Keys, queries among them, come two and three times, with equal and with other vectors; components have few values."""
+    rng = np.random.default_rng(seed)
+    rows = [(i % 130, (rng.integers(-3, 4, size=rng.integers(0, 5)) / 4).tolist()) for i in range(300)]
+    rows += [rows[0], rows[50], rows[100], *[rows[7]] * 20]
+    assert searched(spark, rows) == nearest_by_hand(rows)
+
+
+def test_search_with_huge_components(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** rng.integers(0, 12)).tolist()) for i in range(110)]
+    rows += [(200, [1e30, 0.0, -1e30]), (201, [1e308] * 3), (250, [-1e308, 1e300, 1.0]), (300, []), (350, [1e-300])]
+    assert searched(spark, rows) == nearest_by_hand(rows)
+
+
+def test_search_in_blocks_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK", 4)
+    monkeypatch.setattr(knn, "LEAST_CHUNK", 16)
+    rng = np.random.default_rng(6)
+    rows = [(i * 10, rng.normal(size=4).tolist()) for i in range(160)] + [(10000 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(0, 500, 50)]
+    assert searched(spark, rows) == nearest_by_hand(rows)
+
+
+def test_search_is_its_sql(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    rows = [(i % 160, rng.normal(size=4).tolist()) for i in range(260)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    df.coalesce(1).write.parquet(f"{tmp_path}/e")
+    c = duckdb.connect()
+    c.execute(f"create view embeddings as select * from '{tmp_path}/e/*.parquet'")
+    names = "query_id, rank, vec_id, score"
+    assert {tuple(r) for r in knn.search(df).collect()} == set(c.execute(f"select {names} from ({knn.SQL})").fetchall())
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return secrets.train(secrets.samples(spark, 3000))
