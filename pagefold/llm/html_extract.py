@@ -1,7 +1,7 @@
 """Main text of web pages by gradient-boosted trees over the features of DOM nodes.
 
-A page becomes a tree of block elements. Each is judged by its tag, the tokens of its attributes, the density and links
-of its subtree, its depth and its siblings. Decoding is hierarchical: the kept elements are those that make the
+A page becomes a tree of its block elements and of the inline ones that a name sets apart. Each is judged by its tag, the
+tokens of its attributes, the density and links of its subtree, its depth and its siblings. Decoding is hierarchical: the kept elements are those that make the
 tree's judgements likeliest under the rule that nothing below a dropped element is kept. The trees are trained here, on
 pages made by rule from a seed, whose main text is known.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,9 +30,11 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: An end tag or an implied end looks no further up than these.
 SCOPE = set("html body table td th article section main div aside nav header footer form ul ol dl".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+#: A name in a start tag, with its value where it has one; or the end of the tag.
+ATTRIBUTE = re.compile(r"[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?)?)")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+#: Words of an attribute's value, also those that capitals part.
+VALUE_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 #: Words of attributes, by what they tell about an element.
 HINTS = {
     "advert": "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner dfp commercial outbrain taboola",
@@ -45,14 +48,53 @@ HINTS = {
     "content": "content article main post story entry body text page blog news maincontent articlebody prose document",
 }
 HINT_OF = {w: i for i, words in enumerate(HINTS.values()) for w in words.split()}
-TAG_GROUPS = ["p", "h1 h2 h3 h4 h5 h6", "li dd dt", "ul ol dl menu", "div section", "article main", "nav", "aside", "footer", "header", "form fieldset button select option input", "table tbody thead tr td th", "pre blockquote figure figcaption details", "html body"]
+#: Words that names of parts are made with, and that tell nothing by themselves.
+SHAPES = set("box wrap wrapper area inner outer block container section list item row col column grid group panel unit module component card left right center first last latest primary secondary small large js is has wp div id bar link line".split())
+TAG_GROUPS = ["p", "h1 h2 h3 h4 h5 h6", "li dd dt", "ul ol dl menu", "div section", "article main", "nav", "aside", "footer", "header", "form fieldset button select option input", "table tbody thead tr td th", "pre blockquote figure figcaption details", "html body", "a", "label legend output", " ".join(INLINE - {"a", "label"})]
 TAG_GROUP = {t: i for i, tags in enumerate(TAG_GROUPS) for t in tags.split()}
 N_TAGS, N_HINTS = len(TAG_GROUPS) + 1, len(HINTS)
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+@lru_cache(1 << 16)
+def hints_of(value: str) -> int:
+    """What a value of class, id, role or itemprop tells: a bit for each kind of hint whose words stand alone or among
+    SHAPES, and a bit further up for each kind that stands beside one other word. In longer names a word tells nothing."""
+    out = 0
+    for name in value.split():
+        words = [w.lower() for w in VALUE_WORDS.findall(name)]
+        others = sum(w not in HINT_OF and w not in SHAPES for w in words)
+        if others <= 1:
+            for w in words:
+                if w in HINT_OF:
+                    out |= 1 << (HINT_OF[w] + N_HINTS * others)
+    return out
+
+
+def attributes(source: str, at: int) -> tuple[dict[str, str], int, bool]:
+    """Attributes of the start tag whose name ends at `at` (the first of each name), where the tag ends (-1 if it
+    doesn't), and whether it ends in a slash."""
+    found: dict[str, str] = {}
+    match = ATTRIBUTE.match
+    while m := match(source, at):
+        at = m.end()
+        if m[1]:
+            return found, at, source[at - 2] == "/"
+        found.setdefault(m[2].lower(), m[3] or m[4] or m[5] or "")
+    return found, -1, False
+
+
+def is_hidden(found: dict[str, str]) -> bool:
+    return found.get("hidden", "until-found").lower() != "until-found" or found.get("aria-hidden", "").lower() == "true" or "style" in found and bool(HIDDEN_STYLE.search(found["style"]))
+
+
 class Page:
-    """Block elements in page order, and the text runs that stand right in them."""
+    """Elements that are judged, in page order, and the text runs that stand right in them.
+
+    All block elements are judged, and of the inline ones those that are hidden, label a field, or have a name that hints at
+    something; the others belong to the element that they stand in. An unclosed tag or comment takes the rest of the
+    page with it, as the HTML standard has it. Reading takes time in proportion to the page.
+    """
 
     def __init__(self, source: str):
         self.tags: list[str] = ["html"]
@@ -63,64 +105,121 @@ class Page:
         self.runs: list[tuple[int, str, bool, int]] = []  # element, text, whether linked, block
         self._read(source)
 
+    def _add(self, tag: str, up: int, found: dict[str, str], hints: int, hidden: bool) -> int:
+        self.tags.append(tag)
+        self.parent.append(up)
+        self.depth.append(self.depth[up] + 1)
+        self.hints.append(hints)
+        self.hidden.append(self.hidden[up] or hidden)
+        return len(self.tags) - 1
+
     def _read(self, source: str) -> None:
-        tags, parent, runs = self.tags, self.parent, self.runs
-        stack: list[tuple[str, int]] = [("html", 0)]  # open elements; of inline ones the block that they are in
+        runs, find, n = self.runs, source.find, len(source)
+        # open elements: tag, element judged, and the places here of the innermost block element and of the innermost in SCOPE
+        stack: list[tuple[str, int, int, int]] = [("html", 0, 0, 0)]
+        places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
         at, block, links, head = 0, 0, 0, False
+        endless: set[str] = set()  # what is known not to come any more
 
         def text(value: str) -> None:
             if value and not head:
                 runs.append((stack[-1][1], html.unescape(value) if "&" in value else value, links > 0, block))
 
-        find, n = TOKEN.search, len(source)
+        def push(tag: str, element: int) -> None:
+            k = len(stack)
+            places[tag].append(k)
+            stack.append((tag, element, stack[-1][2] if tag in INLINE else k, k if tag in SCOPE else stack[-1][3]))
+
+        def close(k: int) -> None:
+            """Closes the open elements from place k on."""
+            nonlocal links, block
+            while len(stack) > k:
+                tag = stack.pop()[0]
+                if tag:
+                    places[tag].pop()
+                    links -= tag == "a"
+                    block += tag not in INLINE
+
         while at < n:
-            m = find(source, at)
-            if m is None:
+            start = find("<", at)
+            if start < 0:
                 text(source[at:])
                 break
-            if m.start() > at:
-                text(source[at : m.start()])
-            at = m.end()
-            close = m[1]
-            if close:
-                tag = close.lower()
+            if start > at:
+                text(source[at:start])
+            following = source[start + 1 : start + 2]
+            if following == "/":
+                name = NAME.match(source, start + 2)
+                if start + 2 >= n:
+                    text("</")
+                    break
+                at = find(">", start + 2) + 1
+                if not at:
+                    break
+                if not name:
+                    continue
+                tag = name[0].lower()
                 if tag == "head":
                     head = False
                 elif tag == "br":
                     runs.append((stack[-1][1], " ", False, block))
-                elif tag in ("html", "body"):
-                    pass
-                else:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == tag:
-                            links -= sum(t == "a" for t, _ in stack[k:])
-                            if any(t not in INLINE for t, _ in stack[k:]):
-                                block += 1
-                            del stack[k:]
-                            break
-                        if tag in INLINE and stack[k][0] not in INLINE:
-                            break
+                elif places[tag] and tag not in ("html", "body") and (tag not in INLINE or places[tag][-1] > stack[-1][2]):
+                    close(places[tag][-1])
                 continue
-            tag = m[2] or m[4]
-            if not tag:
+            if following in ("!", "?"):
+                if source.startswith("<!--", start):
+                    at = start + 5 if source.startswith(">", start + 4) else start + 6 if source.startswith("->", start + 4) else find("-->", start + 4) + 3
+                    if at == 2:
+                        break
+                    continue
+                if "]]>" not in endless and source.startswith("<![CDATA[", start):
+                    at = find("]]>", start) + 3
+                    if at > 2:
+                        continue
+                    endless.add("]]>")
+                at = find(">", start) + 1
+                if not at:
+                    break
+                continue
+            name = NAME.match(source, start + 1)
+            if not name:
+                text("<")
+                at = start + 1
                 continue
-            tag, rest = tag.lower(), m[3] or m[5] or ""
+            tag, at = name[0].lower(), name.end()
+            if source.startswith(">", at):
+                found, at, slash = {}, at + 1, False
+            else:
+                found, at, slash = attributes(source, at)
+                if at < 0:
+                    break
             if tag in RAW:
-                if not rest.endswith("/") or tag not in ("svg", "math", "template", "iframe"):
-                    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else (n if tag in ("script", "style", "title") else at)
+                if not slash or tag not in ("svg", "math", "template", "iframe"):
+                    end = None
+                    if tag not in endless:
+                        end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
+                    if end:
+                        at = find(">", end.end()) + 1
+                        if not at:
+                            break
+                    else:
+                        endless.add(tag)
+                        if tag in ("script", "style", "title"):
+                            break
                 continue
             if tag in INLINE:
                 if tag == "br":
                     runs.append((stack[-1][1], " ", False, block))
                 elif tag not in VOID:
                     if tag == "a" and links:  # links don't nest
-                        for k in range(len(stack) - 1, 0, -1):
-                            if stack[k][0] == "a":
-                                del stack[k]
-                                links -= 1
-                                break
-                    stack.append((tag, stack[-1][1]))
+                        k = places["a"].pop()
+                        stack[k] = ("", *stack[k][1:])
+                        links -= 1
+                    element, hidden = stack[-1][1], bool(found) and is_hidden(found)
+                    hint = self._hints(found) if found else 0
+                    if hint or hidden or tag == "label":
+                        element = self._add(tag, element, found, hint, hidden)
+                    push(tag, element)
                     links += tag == "a"
                 continue
             if tag == "head":
@@ -135,38 +234,23 @@ class Page:
             block += 1
             ends = ENDS.get(tag) or ({"p"} if tag in ENDS_P else None)
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in ends:
-                        links -= sum(t == "a" for t, _ in stack[k:])
-                        del stack[k:]
-                        break
-                    if stack[k][0] in SCOPE:
-                        break
+                k = max([places[t][-1] for t in ends if places[t]], default=-1)
+                if k > 0 and k >= stack[-1][3]:
+                    close(k)
             if tag in VOID:
                 continue
-            up = stack[-1][1]
-            tags.append(tag)
-            parent.append(up)
-            self.depth.append(self.depth[up] + 1)
-            hint, hidden = 0, self.hidden[up]
-            if rest:
-                for name, a, b, c in ATTRIBUTE.findall(rest):
-                    name, value = name.lower(), a or b or c
-                    if name == "style":
-                        hidden |= bool(HIDDEN_STYLE.search(value))
-                    elif name == "hidden":
-                        hidden |= value.lower() != "until-found"
-                    elif name == "aria-hidden":
-                        hidden |= value.lower() == "true"
-                    else:
-                        for word in SPLIT.split(value if value.islower() else re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()):
-                            if word in HINT_OF:
-                                hint |= 1 << HINT_OF[word]
-            self.hints.append(hint)
-            self.hidden.append(hidden)
-            if rest.endswith("/") and tag not in ENDS_P:
+            element = self._add(tag, stack[-1][1], found, self._hints(found), is_hidden(found))
+            if slash and tag not in ENDS_P:
                 continue
-            stack.append((tag, len(tags) - 1))
+            push(tag, element)
+
+    @staticmethod
+    def _hints(found: dict[str, str]) -> int:
+        out = 0
+        for name in ("class", "id", "role", "itemprop"):
+            if name in found:
+                out |= hints_of(found[name])
+        return out
 
     def features(self) -> np.ndarray:
         n = len(self.tags)
@@ -197,7 +281,7 @@ class Page:
             if p >= 0:
                 place[e] = seen[p]
                 seen[p] += 1
-                inherited[e] = inherited[p] | self.hints[p] | (group[p] in (6, 7, 8, 10)) << N_HINTS
+                inherited[e] = inherited[p] | (self.hints[p] | self.hints[p] >> N_HINTS) & ((1 << N_HINTS) - 1) | (group[p] in (6, 7, 8, 10)) << N_HINTS
                 main[e] = main[p] or group[p] == 5
         a = lambda x: np.array(x, np.float64)
         chars_, linked_, words_, marks_, below_, children_, place_, own_ = map(a, (chars, linked, words, marks, below, children, place, own))
@@ -206,7 +290,7 @@ class Page:
         hints, up = np.array(self.hints), np.array(inherited)
         columns = [
             *(np.array(group) == g for g in range(N_TAGS)),
-            *((hints >> h) & 1 for h in range(N_HINTS)),
+            *((hints >> h) & 1 for h in range(2 * N_HINTS)),
             *((up >> h) & 1 for h in range(N_HINTS + 1)),
             a(main), np.log1p(chars_), linked_ / np.maximum(chars_, 1), np.log1p(words_), marks_ / np.maximum(words_, 1), np.log1p(chars_ / (below_ + 1)),
             a(self.depth), np.log1p(children_), place_ / np.maximum(siblings, 1), siblings, np.log1p((chars_[p] - chars_) / np.maximum(siblings - 1, 1)), chars_ / max(chars[0], 1), chars_ / np.maximum(chars_[p], 1), np.log1p(own_), a(self.hidden),
@@ -214,13 +298,13 @@ class Page:
         return np.stack([np.asarray(c, np.float64) for c in columns], 1)
 
     def kept(self, log_odds: list[float]) -> list[bool]:
-        """The likeliest set of elements such that no element is kept below a dropped one. The root stays."""
+        """The likeliest set of elements such that no element is kept below a dropped one, and none that is hidden. The root stays."""
         n, parent = len(self.tags), self.parent
         # with log(1 - p) of every element as the base, keeping an element gains its log odds and what is gained below it
         gain = [0.0] * n
         for e in range(n - 1, 0, -1):
             gain[e] += log_odds[e]
-            if gain[e] > 0:
+            if gain[e] > 0 and not self.hidden[e]:
                 gain[parent[e]] += gain[e]
         out = [True] * n
         for e in range(1, n):
@@ -313,11 +397,22 @@ def made_page(rnd: random.Random) -> str:
             words = text.split(" ")
             k = rnd.randrange(len(words))
             tag = rnd.choice(["a href='/x'", "b", "em", "span", "code"])
-            words[k] = f"<{tag}>{mark}{words[k]}</{tag.split()[0]}>"
+            name = attribute("content", 0.5) if chance(0.25) else stray() if chance(0.25) else ""
+            words[k] = f"<{tag}{name}>{mark}{words[k]}</{tag.split()[0]}>"
             words[k + 1 : k + 2] = [mark + w for w in words[k + 1 : k + 2]]
             text = " ".join(words)
+        if mark and chance(0.06):  # what doesn't belong, in the line
+            k = rnd.choice(["advert", "advert", "form", "notice", "side"])
+            t = rnd.choice(["span", "span", "a", "small", "label" if k == "form" else "b"])
+            text += f" <{t}{attribute(k, 0.02)}>{phrase(1, 9)}</{t}> {mark}{phrase(2, 9)}"
         return mark + text
 
+    def stray() -> str:
+        """Attributes of main text: long names that hold some word, and values that say nothing."""
+        w = rnd.choice(sorted(HINT_OF))
+        long = rnd.choice([f"{w}-{word()}-{word()}", f"{word()}-{w}-{word()}", f"{word()}_{word()}_{w}"])
+        return rnd.choice([f' class="{long}"', f' class="{long}"', f' title="{phrase(1, 3)} {w}"', f' data-id="{w}"', f' data-hidden="false" lang="{word()}"'])
+
     def attribute(kind: str | None, other: float = 0.25) -> str:
         if kind is None or chance(other):
             return f' class="{rnd.choice(["c", "x", "box", "css"])}-{rnd.randrange(99)}"' if chance(0.5) else ""
@@ -358,6 +453,10 @@ def made_page(rnd: random.Random) -> str:
         inner = f"<label>{phrase(1, 3)}</label><input name=q><button>{word()}</button>" + f"<p>{phrase(3, 9)}</p>" * chance(0.4)
         return f"<form{attribute('form', 0.6)}>{inner}</form>" if chance(0.75) else f"<div{attribute('form', 0.02)}><form>{inner}</form></div>"
 
+    def field() -> str:
+        inner = f"<label>{phrase(1, 4)}</label> <input>"
+        return rnd.choice([inner, f"<p>{inner}</p>", f"<div{attribute('form')}>{inner}</div>"])
+
     def comments() -> str:
         one = lambda: f"<{(t := rnd.choice(['div', 'li', 'article', 'p']))}{attribute('comment', 0.5)}><b>{word()}</b> {prose(1, 3)}</{t}>" if chance(0.5) else f"<div{attribute('comment', 0.4)}><h4>{phrase(1, 2)}</h4><p>{prose(1, 4)}</p></div>"
         inner = f"<h{(k := rnd.choice('234'))}>{phrase(1, 2)}</h{k}>" * chance(0.6) + "".join(one() for _ in range(rnd.randint(1, 7))) + (form() if chance(0.3) else "")
@@ -371,7 +470,7 @@ def made_page(rnd: random.Random) -> str:
         for _ in range(rnd.choice([1, 1, 2, 4, 8, 14])):
             kind = rnd.random()
             if kind < 0.62:
-                parts.append(f"<p>{prose(1, rnd.choice([1, 3, 9]), m)}" + "</p>" * chance(0.9))
+                parts.append(f"<p{stray() if chance(0.08) else ''}>{prose(1, rnd.choice([1, 3, 9]), m)}" + "</p>" * chance(0.9))
             elif kind < 0.7:
                 parts.append(f"<h{(k := rnd.choice('23'))}>{m}{phrase(2, 7)}</h{k}>")
             elif kind < 0.78:
@@ -385,7 +484,7 @@ def made_page(rnd: random.Random) -> str:
             elif kind < 0.92:
                 parts.append(f"<pre>{m}{phrase(3, 20)}</pre>")
             else:
-                parts.append(rnd.choice([advert, advert, side, notice, form])())
+                parts.append(rnd.choice([advert, advert, side, notice, form, field])())
         inner = "".join(parts)
         if chance(0.2):
             inner += comments()

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -523,6 +524,52 @@ def test_html_on_made_pages_not_trained_on():
     assert right / (right + wrong) > 0.93 and right / (right + missed) > 0.93
 
 
+def around(part):
+    body = "".join(f"<p>{'Some ordinary article text stands here, of enough words to matter. ' * 4}</p>" for _ in range(4))
+    return f"<html><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>News</a></li></ul></nav><article><h1>Title of it</h1>{body}{part}{body}</article><footer>&copy; 2020 Someone</footer></body></html>"
+
+
+@pytest.mark.parametrize("part", [
+    '<p title="the hidden cost">WORD of the thing is here now.</p>', '<p aria-label="show hidden text">WORD of the thing is here.</p>', '<p data-hidden="false">WORD is a paragraph.</p>',
+    '<p data-id="ad">WORD is a paragraph.</p>', '<p class="comment-on-war">WORD is what he said about the war.</p>', '<p>text <em class="c-1">WORD</em> more</p>',
+    '<p>He wrote <span class="body">WORD</span> and left.</p>', "<p>see <a class='link' href='/x'>WORD</a> for more.</p>", "<p>if a < b and it's <b>WORD</b></p>", "<p lang=it's>WORD</p>",
+])
+def test_html_keeps(part):
+    assert "WORD" in html_extract.main_texts([around(part)], html_extract.trained())[0]
+
+
+@pytest.mark.parametrize("part", [
+    "<p>text <span hidden>WORD</span> more text follows here.</p>", '<p>text <span style="display:none">WORD</span> more text follows.</p>', '<p>a <span aria-hidden="true">WORD</span> b</p>',
+    '<p>text here <span class="advert sponsored">WORD</span> more text follows.</p>', '<p>some text <a class="advert" href="http://x">WORD buy</a> more text follows.</p>',
+    "<label>WORD</label><input name=q>", "<p>words and words <label>WORD</label> <input> other words</p>", "<div hidden><p>WORD</p></div>", '<div class="ad"><p>WORD</p></div>', "<span hidden><div>WORD</div></span>",
+])
+def test_html_drops(part):
+    out = html_extract.main_texts([around(part)], html_extract.trained())[0]
+    assert "WORD" not in out and out.count("Some ordinary article") == 32
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a <b ", "<!--", "<xmp>", "<b>", "<![CDATA[", "<a '", '<a x="', "</script", "<i><div>", "<div><i></b>", "<a><b></a>", "<textarea>", "<"])
+def test_html_reads_broken_markup_in_time(piece):
+    began = time.process_time()
+    html_extract.Page("<p>x" + piece * 8000)
+    assert time.process_time() - began < 0.1
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_html_decoding_is_the_likeliest_closed_set(seed):
+    rnd = random.Random(seed)
+    page = html_extract.Page("")
+    for _ in range(rnd.randint(1, 9)):
+        page._add("div", rnd.randrange(len(page.tags)), {}, 0, rnd.random() < 0.15)
+    n = len(page.tags)
+    odds = [rnd.uniform(-2, 2) for _ in range(n)]
+    of = lambda kept: sum(o for o, k in zip(odds[1:], kept[1:]) if k)
+    sets = [(True, *(bool(bits >> e & 1) for e in range(n - 1))) for bits in range(1 << (n - 1))]
+    closed = [k for k in sets if all(not k[e] or k[page.parent[e]] and not page.hidden[e] for e in range(1, n))]
+    got = page.kept(odds)
+    assert tuple(got) in closed and abs(of(got) - max(map(of, closed))) < 1e-9
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
