@@ -8,6 +8,7 @@ base spans leave of a run is judged by itself. Both models are counted from labe
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,13 @@ ASSIGN_LEAST = 8
 #: Whole runs: a longer least length drops just the matches that would fail.
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: Runs that the models judge, the characters they know, and the log-likelihood ratio that makes a secret.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Runs that the models judge, the characters they know, and the log-likelihood ratio that makes a secret. A run, and a part that counts, has LEAST_PIECE characters.
+LEAST_PIECE = 12
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_RATIO = 15.0
-#: Where a part of a run may start and end.
-SEPARATORS = "+/_=-"
+#: Places about a part that its ends are chosen from.
+NEIGHBOURS = 64
 #: Words of ordinary identifiers, from which the sample of negatives is put together.
 IDENTIFIER_WORDS = (
     "account action active address after agent amount answer array author average before binary block board body book border bottom branch "
@@ -82,6 +84,18 @@ def samples(spark: SparkSession, n: int = 6000) -> DataFrame:
     return positive.unionByName(spark.range(n).select(form.alias("text"), F.lit(0).alias("label")))
 
 
+CODES = 128
+
+
+def by_code(model: list[float]) -> list[float]:
+    """The model's table by the codes of two characters."""
+    size, out = len(ALPHABET), [0.0] * (CODES * CODES)
+    for a, first in enumerate(ALPHABET):
+        for b, second in enumerate(ALPHABET):
+            out[ord(first) * CODES + ord(second)] = model[a * size + b]
+    return out
+
+
 def train(labelled: DataFrame) -> list[float]:
     """Log-likelihood ratio (random over ordinary) of each transition, as a table of len(ALPHABET) ** 2 numbers.
 
@@ -99,22 +113,63 @@ def train(labelled: DataFrame) -> list[float]:
     return [round(of(1, a, b) - of(0, a, b), 4) for a in range(size) for b in range(size)]
 
 
+SPAN = "struct<start:int,kind:int,end:int,hit:string>"
+#: Steps of an inner fold, and inner folds of a middle one.
+FOLD = 128
+
+
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def folded(n: Column, start: dict[str, Column], step: Callable[[Column, Column], dict[str, Column]], kind: str) -> Column:
+    """A fold over the places 1 to n that lists items of a type on its way: a struct of the last state `s` and the list `out`.
+
+    step gives the next state, in which `good` tells whether its `item` is listed. Spark copies a fold's state at each
+    step, so a list grown in one fold takes time with the square of its length. Here folds are nested three deep: an inner one
+    lists what FOLD places give, a middle one what FOLD inner ones give, and only the outer one carries everything.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    zero = _struct(**start, good=F.lit(False), item=F.lit(None).cast(kind))
+    listed = lambda out, s: F.when(s["good"], F.array_append(out, s["item"])).otherwise(out)
+
+    def inner(s: Column, lo: Column) -> Column:
+        places = F.sequence(lo, F.least(n, lo + (FOLD - 1)))
+        done = lambda acc: _struct(s=acc["s"].withField("good", F.lit(False)), out=listed(acc["out"], acc["s"]))
+        return F.aggregate(places, _struct(s=s, out=none), lambda acc, i: _struct(s=_struct(**step(acc["s"], i)), out=listed(acc["out"], acc["s"])), done)
+
+    def gather(s: Column, lo: Column, hi: Column, by: int, below: Callable[[Column, Column], Column]) -> Column:
+        # the latest part stays apart until the next one is made of its state
+        part = lambda acc: F.concat(acc["out"], acc["part"]["out"])
+        return F.aggregate(F.sequence(lo, hi, F.lit(by)), _struct(part=_struct(s=s, out=none), out=none), lambda acc, at: _struct(part=below(acc["part"]["s"], at), out=part(acc)), lambda acc: _struct(s=acc["part"]["s"], out=part(acc)))
+
+    middle = lambda s, lo: gather(s, lo, F.least(n, lo + (FOLD * FOLD - 1)), FOLD, inner)
+    return F.when(n > 0, gather(zero, F.lit(1), n, FOLD * FOLD, middle)).otherwise(_struct(s=zero, out=none))
+
+
 def _spans(text: Column, pattern: str, kind: int, judge: tuple[int, int] | None = None) -> Column:
     """Spans of the leftmost matches that do not overlap, as structs (start, kind, end, hit).
 
     What stands between the matches (split) and the matches give the places. judge: a group and its least length.
     """
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(judge[0] if judge else 0)).alias("inner"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>")
+    sized = F.transform(parts, lambda p: _struct(gap=F.length(p["gap"]), hit=p["hit"], size=F.coalesce(F.length(p["hit"]), F.lit(0)), good=F.coalesce(F.length(p["inner"]) >= (judge[1] if judge else 1), F.lit(False))))
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
-        good = F.coalesce(F.length(part["inner"]) >= (judge[1] if judge else 1), F.lit(False))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.when(good, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    def of(all_: Column) -> Column:
+        def step(s: Column, i: Column) -> dict[str, Column]:
+            part = F.element_at(all_, i)
+            start = s["at"] + part["gap"]
+            end = start + part["size"]
+            return {"at": end, "good": part["good"], "item": _struct(start=start, kind=F.lit(kind), end=end, hit=part["hit"])}
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+        return folded(F.size(all_), {"at": F.lit(0)}, step, SPAN)["out"]
+
+    return bound(sized, of)
 
 
 def _listed(spans: Column) -> Column:
@@ -123,6 +178,67 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+PIECE = "struct<start:int,end:int,first:int,bytes:binary>"
+
+
+def left_over(base: Column, runs: Column) -> Column:
+    """What base spans leave of the runs: pieces (start, end, first: the run's start, bytes: the run's characters).
+
+    One sweep over both in order of their starts, so the time doesn't depend on how many meet.
+    """
+    plain = lambda x: _struct(start=x["start"], kind=x["kind"], end=x["end"], hit=F.when(x["kind"] == 4, x["hit"].cast("binary")))
+    # a last item behind all others closes the last run
+    close = F.array(_struct(start=F.lit((1 << 31) - 1), kind=F.lit(5), end=F.lit((1 << 31) - 1), hit=F.lit(None).cast("binary")))
+
+    def of(items: Column) -> Column:
+        def step(s: Column, i: Column) -> dict[str, Column]:
+            x = F.element_at(items, i)
+            run = x["kind"] == 4
+            to = F.when(run, s["last"]).otherwise(F.least(x["start"], s["last"]))
+            now = {n: F.when(run, x[m]).otherwise(s[n]) for n, m in (("first", "start"), ("last", "end"), ("bytes", "hit"))}
+            at = F.when(run, F.greatest(x["start"], s["covered"])).otherwise(F.greatest(s["at"], x["end"]))
+            covered = F.when(run, s["covered"]).otherwise(F.greatest(s["covered"], x["end"]))
+            return {"covered": covered, "at": at, **now, "good": to - s["at"] >= LEAST_PIECE, "item": _struct(start=s["at"], end=to, first=s["first"], bytes=s["bytes"])}
+
+        start = {"covered": F.lit(0), "at": F.lit(0), "first": F.lit(0), "last": F.lit(0), "bytes": F.lit(None).cast("binary")}
+        return folded(F.size(items), start, step, PIECE)["out"]
+
+    return bound(F.concat(F.array_sort(F.transform(F.concat(base, runs), plain)), close), of)
+
+
+def judged(piece: Column, model: list[float], least_ratio: float) -> Column:
+    """Spans of a piece: the whole of it where it is a secret as a whole, else its parts of most weight.
+
+    A part is the best of as many as there are pairs of places about it, so it has to reach least_ratio and the logarithm
+    of their number. It ends at its peak once the sum is used up or has fallen by that much: nothing from its peak to there
+    reaches it. Characters are taken from the bytes by place, one step each.
+    """
+    ratios = F.split(F.lit(",".join(map(str, by_code(model)))), ",").cast("array<double>")
+    n, skip = piece["end"] - piece["start"], piece["start"] - piece["first"]
+    code = lambda i: F.ascii(F.call_function("substring", piece["bytes"], skip + i, F.lit(1)).cast("string"))
+    move = lambda i: F.element_at(ratios, code(i) * CODES + code(i + 1) + 1)
+    text = lambda a, b: F.call_function("substring", piece["bytes"], skip + a + 1, b - a).cast("string")
+    span = lambda a, b: _struct(start=piece["start"] + a, kind=F.lit(4), end=piece["start"] + b, hit=text(a, b))
+    zero, least = F.lit(0.0), least_ratio + 2 * F.log(F.least(n, F.lit(NEIGHBOURS)).cast("double"))
+
+    def step(s: Column, i: Column) -> dict[str, Column]:
+        # `next` is the sum with the coming transition, made a step ahead
+        over = (s["next"] <= 0) | (s["next"] <= s["peak"] - least)
+        higher = ~over & (s["next"] > s["peak"])
+        peak = F.when(over, zero).when(higher, s["next"]).otherwise(s["peak"])
+        good = over & (s["peak"] >= least) & (s["last"] - s["first"] >= LEAST_PIECE)
+        following = F.when(over, zero).otherwise(s["next"]) + F.when(i + 1 < n, move(i + 1)).otherwise(-1e9)
+        return {"next": following, "first": F.when(over, i).otherwise(s["first"]), "peak": peak, "last": F.when(higher, i + 1).otherwise(s["last"]), "good": good, "item": F.when(good, span(s["first"], s["last"]))}
+
+    # the last place has no transition: its sum of less than nothing closes the last part
+    parts = folded(n, {"next": move(F.lit(1)), "first": F.lit(0), "peak": zero, "last": F.lit(0)}, step, SPAN)["out"]
+    # no part sums to more than all that counts for it
+    add = lambda acc, i: bound(move(i), lambda m: _struct(all=acc["all"] + m, up=acc["up"] + F.greatest(m, zero)))
+    sums = F.aggregate(F.sequence(F.lit(1), n - 1), _struct(all=zero, up=zero), add)
+    none = F.array().cast(f"array<{SPAN}>")
+    return bound(sums, lambda x: F.when(x["all"] >= least_ratio, F.array(span(F.lit(0), n))).when(x["up"] < least, none).otherwise(parts))
+
+
 def scan(docs: DataFrame, model: list[float], text: str = "text", key: str = "doc_id", least_ratio: float = LEAST_RATIO, with_spans: bool = False) -> DataFrame:
     """Secrets in every whole text.
 
@@ -132,7 +248,7 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", key: str = "do
     (start, kind, end, hit). Null texts count as empty; repeated rows stay rows; further columns are left out.
     """
     t = F.col("t")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>")
+    none = F.array().cast(f"array<{SPAN}>")
     rows = only(docs, key, text).toDF("k", "t").withColumn("t", F.coalesce("t", F.lit("")))
     base = [
         F.when(t.rlike(ASSIGN_HINT), _spans(t, ASSIGN, 1, (2, ASSIGN_LEAST))).otherwise(none),
@@ -140,53 +256,8 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", key: str = "do
         F.when(t.rlike(HEX), _spans(t, HEX, 3)).otherwise(none),
     ]
     rows = rows.select("k", *[b.alias(n) for b, n in zip(base, ("assign", "access", "hex"))], F.when(t.rlike(CANDIDATE), _spans(t, CANDIDATE, 4)).otherwise(none).alias("runs"))
-    table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
-    size, known = len(ALPHABET), F.lit(ALPHABET)
-
-    def moves(hit: Column) -> Column:
-        """Of each transition the ratio, and whether a part may start at its second character and may end there."""
-        char = lambda i: F.call_function("substr", hit, i, F.lit(1))
-        at = lambda i: F.call_function("instr", known, char(i))
-        apart = lambda i: F.call_function("instr", F.lit(SEPARATORS), char(i)) > 0
-        move = lambda i: F.struct(F.element_at(table, (at(i) - 1) * size + at(i + 1)).alias("ratio"), apart(i).alias("starts"), ((i + 1 >= F.length(hit)) | apart(i + 2)).alias("ends"))
-        return F.transform(F.sequence(F.lit(1), F.length(hit) - 1), move)
-
-    def judged(piece: Column) -> Column:
-        """The whole piece if it is a secret as a whole, else its parts of most weight from separator to separator.
-
-        A part is the best of as many as there are places to start, so it has to reach least_ratio and the logarithm of
-        their number. It ends at its peak once the sum is used up or has fallen by that much: nothing from its peak to
-        there reaches it.
-        """
-        span = lambda start, end, hit: F.struct(start.alias("start"), F.lit(4).alias("kind"), end.alias("end"), hit.alias("hit"))
-        least = least_ratio + F.log(1.0 + F.size(F.filter(piece["moves"], lambda m: m["starts"])))
-        part = lambda acc: span(piece["start"] + acc["from"], piece["start"] + acc["to"], F.call_function("substr", piece["hit"], acc["from"] + 1, acc["to"] - acc["from"]))
-        spans = lambda acc: F.when(acc["peak"] >= least, F.array_append(acc["spans"], part(acc))).otherwise(acc["spans"])
-        state = lambda n, total, first, peak, to, found: F.struct(n.alias("n"), total.alias("sum"), first.alias("from"), peak.alias("peak"), to.alias("to"), found.alias("spans"))
-        zero = F.lit(0.0)
-
-        def step(acc: Column, m: Column) -> Column:
-            total, n = acc["sum"] + m["ratio"], acc["n"] + 1
-            over = m["starts"] & ((total <= 0) | (total <= acc["peak"] - least))
-            higher = m["ends"] & (total > acc["peak"])
-            return F.when(over, state(n, zero, n, zero, n, spans(acc))).otherwise(state(n, total, acc["from"], F.when(higher, total).otherwise(acc["peak"]), F.when(higher, n + 1).otherwise(acc["to"]), acc["spans"]))
-
-        parts = F.aggregate(piece["moves"], state(F.lit(0), zero, F.lit(0), zero, F.lit(0), none), step, spans)
-        total = F.aggregate(piece["moves"], zero, lambda a, m: a + m["ratio"])
-        return F.when(total >= least_ratio, F.array(span(piece["start"], piece["end"], piece["hit"]))).otherwise(parts)
-
-    def outside(run: Column) -> Column:
-        """What base spans leave of a run."""
-        near = F.filter("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-        gap = lambda acc, to: F.when(to - acc["at"] > 1, F.array_append(acc["gaps"], F.struct(acc["at"].alias("start"), to.alias("end")))).otherwise(acc["gaps"])
-        start = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps"))
-        gaps = F.aggregate(near, start, lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), gap(acc, b["start"]).alias("gaps")), lambda acc: gap(acc, run["end"]))
-        return F.transform(gaps, lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end"), F.call_function("substr", run["hit"], g["start"] - run["start"] + 1, g["end"] - g["start"]).alias("hit")))
-
-    every = F.concat("assign", "access", "hex")
-    rows = rows.withColumn("base", F.array_sort(every))
-    pieces = F.transform(F.flatten(F.transform("runs", outside)), lambda p: p.withField("moves", moves(p["hit"])))
-    added = F.flatten(F.transform(pieces, judged))
+    rows = rows.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
+    added = F.flatten(F.transform(left_over(F.col("base"), F.col("runs")), lambda p: judged(p, model, least_ratio)))
     rows = rows.withColumn("random", F.when(F.size("runs") > 0, added).otherwise(none))
     found = F.array_sort(F.concat("base", "random"))
     long = lambda c: F.size(c).cast("bigint")

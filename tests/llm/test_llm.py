@@ -375,6 +375,75 @@ def test_secrets_inside_longer_runs(spark, model):
     assert all(texts[i][f["start"] : f["end"]] == f["hit"] for i, fs in found.items() for f in fs)
 
 
+def added_by_hand(text, model, base):
+    """Spans that the models add, by the definition: pieces from a mask of what base spans cover, parts by a running sum."""
+    taken, out, size = set(), [], len(secrets.ALPHABET)
+    for a, b in base:
+        taken.update(range(a, b))
+    ratio = lambda a, b: model[secrets.ALPHABET.index(a) * size + secrets.ALPHABET.index(b)]
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text):
+        pieces, piece = [], []
+        for i in [*range(run.start(), run.end()), None]:
+            if i is None or i in taken:
+                pieces.append(piece)
+                piece = []
+            else:
+                piece.append(i)
+        for piece in (p for p in pieces if len(p) >= 12):
+            s = text[piece[0] : piece[-1] + 1]
+            steps = [ratio(a, b) for a, b in zip(s, s[1:])]
+            if sum(steps) >= secrets.LEAST_RATIO:
+                out.append((piece[0], piece[0] + len(s)))
+                continue
+            least, total, first, peak, last = secrets.LEAST_RATIO + 2 * np.log(min(64, len(s))), 0.0, 0, 0.0, 0
+            for i, step in enumerate([*steps, -1e9], 1):
+                total += step
+                if total <= 0 or total <= peak - least:
+                    if peak >= least and last - first >= 12:
+                        out.append((piece[0] + first, piece[0] + last))
+                    total, first, peak = 0.0, i, 0.0
+                elif total > peak:
+                    peak, last = total, i + 1
+    return out
+
+
+def test_secrets_added_spans_are_the_definitions(spark, model):
+    rnd = random.Random(5)
+    token = lambda n: "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    bits = [lambda: token(rnd.randint(3, 50)), lambda: rnd.choice(secrets.IDENTIFIER_WORDS), lambda: "%032x" % rnd.getrandbits(128), lambda: "AKIA" + "A1" * 8, lambda: "password=" + token(9), lambda: "é"]
+    texts = ["".join(rnd.choice(bits)() + rnd.choice(["/", "_", "-", "=", " ", "", ""]) for _ in range(rnd.randint(1, 30))) for _ in range(150)]
+    texts += ["".join("%032x_" % rnd.getrandbits(128) + token(14) + "/" for _ in range(600))]  # more than one fold of spans, in one run
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    n = 0
+    for r in secrets.scan(df, model, with_spans=True).collect():
+        base = [(f["start"], f["end"]) for f in r["found"] if f["kind"] < 4]
+        want = added_by_hand(texts[r["doc_id"]], model, base)
+        assert [(f["start"], f["end"]) for f in r["found"] if f["kind"] == 4] == want
+        n += len(want)
+    assert n > 300
+
+
+@pytest.mark.parametrize("text", ["the_quick_brown_fox/over" * 20_000, "0123456789abcdef0123456789abcdef " * 50_000, "ordinary_words_and_0123456789abcdef0123456789abcdef_" * 10_000], ids=["run", "hits", "pieces"])
+def test_secrets_in_long_texts_take_time_in_proportion(spark, model, text):
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    began = time.time()
+    assert secrets.scan(df, model).first()["n_hex"] == text.count("0123456789abcdef0123456789abcdef")
+    assert time.time() - began < 20
+
+
+def test_secrets_recall_by_length(spark, model):
+    """Planted random tokens, alone, behind a path, and glued to a name; the share of those mostly in a span."""
+    rnd = random.Random(8)
+    token = lambda n: "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    rows = [(n, p, token(n)) for n in (12, 16, 19, 24, 32) for p in ("", "see ", "/config/service/account/", "customeraccount") for _ in range(60)]
+    df = spark.createDataFrame([(i, p + t) for i, (_, p, t) in enumerate(rows)], "doc_id bigint, text string")
+    right = collections.Counter()
+    for r in secrets.scan(df, model, with_spans=True).collect():
+        n, p, _ = rows[r["doc_id"]]
+        right[n] += sum(max(0, f["end"] - max(f["start"], len(p))) for f in r["found"]) >= 0.75 * n
+    assert [right[n] / 240 >= least for n, least in ((12, 0.4), (16, 0.75), (19, 0.85), (24, 0.93), (32, 0.96))] == [True] * 5
+
+
 def test_markov_models_tell_random_from_ordinary(spark, model):
     held = secrets.samples(spark, 12000).join(secrets.samples(spark, 3000), ["text", "label"], "left_anti").filter("length(text) >= 20")
     rows = held.selectExpr("row_number() over (order by text) as doc_id", "text", "label").collect()
