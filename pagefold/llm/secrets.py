@@ -52,7 +52,7 @@ IDENTIFIER_WORDS = (
 ).split()
 
 
-def samples(spark: SparkSession, n: int = 6000) -> DataFrame:
+def samples(spark: SparkSession, n: int = 12_000) -> DataFrame:
     """Labelled samples (text, label), made by rule: label 1 random strings of several alphabets, label 0 identifiers."""
     i = F.col("id").cast("string")
     digest = F.sha2(F.concat(F.lit("s"), i).cast("binary"), 256)

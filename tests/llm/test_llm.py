@@ -431,14 +431,14 @@ def test_secrets_in_long_texts_take_time_in_proportion(spark, model, text):
     assert time.time() - began < 20
 
 
-def test_secrets_recall_by_length(spark, model):
+def test_secrets_recall_by_length(spark):
     """Planted random tokens, alone, behind a path, and glued to a name; the share of those mostly in a span."""
     rnd = random.Random(8)
     token = lambda n: "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
     rows = [(n, p, token(n)) for n in (12, 16, 19, 24, 32) for p in ("", "see ", "/config/service/account/", "customeraccount") for _ in range(60)]
     df = spark.createDataFrame([(i, p + t) for i, (_, p, t) in enumerate(rows)], "doc_id bigint, text string")
     right = collections.Counter()
-    for r in secrets.scan(df, model, with_spans=True).collect():
+    for r in secrets.scan(df, secrets.train(secrets.samples(spark)), with_spans=True).collect():
         n, p, _ = rows[r["doc_id"]]
         right[n] += sum(max(0, f["end"] - max(f["start"], len(p))) for f in r["found"]) >= 0.75 * n
     assert [right[n] / 240 >= least for n, least in ((12, 0.4), (16, 0.75), (19, 0.85), (24, 0.93), (32, 0.96))] == [True] * 5
