@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pagefold.llm.common import only, small_batches
+from pagefold.llm.common import only, slices
 
 #: The public pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -233,12 +233,11 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text", key: str = "doc
     """
     source = only(docs, key, text)
     kind = source.schema[0].dataType.simpleString()
-    small_batches(docs)
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab_path)
-        for batch in batches:
+        for batch in slices(batches, 1):
             keys, rows = batch.column(0), []
             for ids in bpe.encode_batch([t or "" for t in batch.column(1).to_pylist()]):
                 n = np.frombuffer(ids, "<u4")

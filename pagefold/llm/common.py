@@ -7,6 +7,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
-#: Rows of text in one Arrow batch of a Python stage; long texts then stay within a worker's memory.
-BATCH_ROWS = 512
+#: Rows, and bytes of text, that a Python stage takes at once; long texts then stay within a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def ascii_lower(c: Column) -> Column:
@@ -28,36 +31,75 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. A temporary folder is set only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local run takes a temporary folder; a cluster has none that all could read, which is an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = current.get() if current.isDefined() else None
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="pagefold-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
 
+#: Folders made while a run tidies up after itself, else nothing.
+_made: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/pagefold-{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/pagefold-{what}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
+    return path
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, path: str | None = None) -> DataFrame:
     """The rows, computed once and kept in the shared folder: lineage is cut and a lost executor costs nothing."""
-    path = fresh_path(df.sparkSession, what)
+    path = path or fresh_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def tidied(spark: SparkSession, keep: str) -> Iterator[None]:
+    """Deletes the folders made inside, but for `keep`, once what is computed inside is written."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made.remove(made)
+        for path in made:
+            if path != keep:
+                remove(spark, path)
+
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches of few rows, for stages that take whole texts. Only lowers what the session has."""
-    conf = df.sparkSession.conf
-    if int(conf.get(ARROW_ROWS, "10000")) > rows:
-        conf.set(ARROW_ROWS, str(rows))
+def slices(batches: Iterator[pa.RecordBatch], text: int, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut up, so that none has more than so many rows, nor more bytes in column `text` unless in one row.
+
+    Spark bounds a batch by rows and bytes too, but what a stage makes of its texts takes several times their size.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start, before = 0, 0
+        while start < batch.num_rows:
+            end = max(start + 1, min(start + rows, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(start, end - start)
+            start, before = end, int(ends[end - 1])
 
 
 @contextmanager

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pagefold.llm.common import only, small_batches
+from pagefold.llm.common import only, slices
 
 # fixed values of the HTML standard: elements by how they are parsed and laid out
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -547,12 +547,11 @@ def extract(pages: DataFrame, trees: Trees | None = None, source: str = "html",
     """
     trees = trees or trained()
     rows = only(pages, *keys, source)
-    small_batches(pages, 256)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", text string, n_chars bigint"
     n = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, n, 256):
             texts = main_texts([s or "" for s in batch.column(n).to_pylist()], trees)
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*keys, "text", "n_chars"])
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagefold.llm.common import ASCII_LOWER, WORD, keep_marked, large_batches, only, small_batches, written
+from pagefold.llm.common import ASCII_LOWER, WORD, keep_marked, large_batches, only, slices, written
 
 WORDS = re.compile(WORD)
 #: Distinct fingerprints beyond which byte quads are indexed, as triples would share lists by chance.
@@ -57,10 +57,9 @@ def text_sign(text: str) -> Column:
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 4) -> DataFrame:
     """key, sign (a hash of the text) and fp (the fingerprint as a signed 64-bit integer) of each row."""
     source = only(docs, key, text).withColumn("sign", text_sign(text))
-    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             prints = np.array([fingerprint(t or "", n) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))], [key, "sign", "fp"])
 

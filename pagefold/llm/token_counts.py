@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pagefold.llm.bpe import byte_symbols
-from pagefold.llm.common import WORD, only, small_batches
+from pagefold.llm.common import WORD, only, slices
 
 MEMO_WORDS = 600_000
 WORDS = re.compile(WORD)
@@ -123,12 +123,11 @@ def token_counts(docs: DataFrame, vocab_path: str, text: str = "text", key: str
     stay rows of their own; further columns are left out.
     """
     source = only(docs, key, text)
-    small_batches(docs)
     schema = f"`{key}` {source.schema[0].dataType.simpleString()}, n_words bigint, n_tokens bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocab_path).count_text
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = [count(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], [key, "n_words", "n_tokens"])
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagefold.llm.bpe import byte_symbols
-from pagefold.llm.common import Memo, fresh_path, only, small_batches
+from pagefold.llm.common import Memo, fresh_path, only, slices
 
 MAGIC = b"WAVEMAT1"
 MEMO_WORDS = 400_000
@@ -236,7 +236,6 @@ def write(docs: DataFrame, vocab_path: str, end_id: int, where: str | None = Non
     """
     spark = docs.sparkSession
     where = where or fresh_path(spark, "tokens")
-    small_batches(docs)
     rows = only(docs, key, text).toDF("k", "t").withColumn("t", F.coalesce("t", F.lit(""))).withColumn("h", F.xxhash64("t"))
     rows = rows.repartitionByRange(F.col("k"), F.col("h")).sortWithinPartitions("k", "t").select("k", "t")
 
@@ -253,7 +252,7 @@ def write(docs: DataFrame, vocab_path: str, end_id: int, where: str | None = Non
                 f.write(dump(WaveletMatrix.build(np.frombuffer(b"".join(held), "<u4")), keys, lengths))
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "seq": pa.array([seq], pa.int64()), "path": [name], "n_docs": pa.array([len(keys)], pa.int64()), "n_ids": pa.array([n], pa.int64())})
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 held += [ids, end]
                 keys.append(k)

@@ -3,9 +3,10 @@
 Two strings are as alike as the subsequences of three characters that they share, each weighted by LAMBDA to the power
 of the characters it spans; so gapped words, and words with characters put in, stay close to the insult they come
 from. The kernel spans at most SPAN characters, is normalised and squared, and counts as nothing below FLOOR. Landmarks
-are stems, the start of a word marked; a word is compared by pieces that start at any of its letters, the best of which counts, so an insult
-is found under any ending and behind any other word. Whole words that clean documents share with a stem are landmarks too, so that a harmless
-word can be told from an insult with the same start.
+are stems that tell toxic documents from clean ones, the start of a word marked; a word is compared by its pieces, the best of
+which counts, so an insult is found under any ending. Where a stem tells the classes apart wherever it stands in a word, pieces may start
+at any letter: then it is found behind any other word too. Whole words of clean documents that come near a stem are landmarks as well,
+so that a harmless word can be told from an insult.
 
 A sentence is known by its best word for each landmark; these values, whitened by the landmarks' own kernel matrix
 (Nystrom), go to a linear support vector machine. It is trained on the sentences of labelled documents: those of clean
@@ -20,7 +21,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,23 +30,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
-from pagefold.llm.common import WORD, only, small_batches, written
-
-LAMBDA, SPAN, FLOOR = 0.7, 8, 0.15
-#: Labelled rows of each class that a model is fitted on at most, and sentences of each.
-SAMPLE_ROWS, SAMPLE_SENTENCES = 2500, 300
-#: Landmarks, the stems among which they are chosen, and the letters that a stem has.
-LANDMARKS, CANDIDATES, STEM = 32, 3000, range(4, 10)
-#: Log-likelihood ratio (nats) from which a stem tells the classes apart by more than chance among very many stems, and
-#: its least share of the best stem's: copies of documents make chance stems look telling.
-TELLING, TELLING_SHARE = 12.0, 0.06
+from pagefold.llm.common import WORD, only, slices, written
+
+LAMBDA, SPAN, FLOOR = 0.7, 8, 0.3
+#: A word is compared by its pieces if its kernel with a stem is this share of the stem's own.
+NEAR = 0.45
+#: Labelled rows of each class that a model is fitted on at most: the one bound on what it learns from.
+SAMPLE_ROWS = 2500
+#: Stems that become landmarks at most, and the letters that a stem has.
+LANDMARKS, STEM = 32, range(3, 10)
+#: Log-likelihood ratio (nats) from which a stem tells the classes apart by more than chance among very many stems, and how many
+#: times its share must be larger in toxic documents: words of a language that has more of them differ by less.
+TELLING, LIFT = 12.0, 20.0
+#: What share of its frequency in toxic documents a stem may have inside the words of clean ones, to count inside words.
+INSIDE = 0.002
+#: A piece from inside a word must come this near to a landmark.
+INSIDE_FLOOR = 0.7
+#: How near to a stem some word of a sentence has to come for the sentence to be taken for toxic in training.
+CLOSE = 0.6
 #: Margin from which a sentence or word counts as toxic.
-SURE = 0.5
+SURE = 0.75
 #: Whole words of clean documents that become landmarks beside each stem.
 LOOKALIKES = 2
 #: Lengths of the pieces of a word that are compared beside the rest of it, of which LONG_WORD letters count at most.
-LENGTHS, LONG_WORD = (4, 5, 6, 7, 8, 9, 10, 12), 20
-MEMO_WORDS, MEMO_PIECES = 400_000, 200_000
+LENGTHS, LONG_WORD = (3, 4, 5, 6, 7, 8, 9, 10, 12), 20
+#: Values are kept in steps of this size where a model is fitted, so that equal sentences are one row.
+STEPS = 32
+MEMO_WORDS = 400_000
 THRESHOLD = 0.7
 #: Cost of misjudging all sentences of both classes, against the squared length of the weights.
 COST = 20_000.0
@@ -54,155 +65,160 @@ WORDS = re.compile(WORD)
 SPELT = re.compile(r"(?<!\S)(?:[^\W\d_][ .\-_*]{1,2}){2,}[^\W\d_](?![^\W_])")
 #: Digits and signs that stand for letters inside a word.
 LEET = str.maketrans("013457@$!|", "oieastasii")
-OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 CODES = 64  # 0: start of a word, 1-26: a-z, others share the rest
 
 
 MARKS = "\"'`.,:;!?()[]{}<>*#%&$@|/\\-_+=~^"
 
 
+#: Three and more of a letter, in a word drawn out.
+DRAWN_OUT = re.compile(r"(.)\1{2,}")
+
+
 def plain(word: str) -> str:
-    """The letters of a word: lower case, stand-ins put back, all else dropped."""
+    """The letters of a word: lower case, stand-ins put back, letters drawn out once, all else dropped."""
     w = word.lower().strip(MARKS)
-    if w.isalpha():
-        return w if w.isascii() else unicodedata.normalize("NFC", w)
-    return "".join([c for c in unicodedata.normalize("NFC", w.translate(LEET)) if c.isalpha()])
-
-
-def all_pieces(word: str) -> list[str]:
-    """What of a plain word is compared: from each letter that leaves a stem's length, pieces of several lengths, and the
-    rest with its end marked."""
-    out = []
-    for k in range(max(1, len(word) - STEM[0] + 1)):
-        rest = word[k : k + LONG_WORD + 1]
-        out += [rest[:p] for p in LENGTHS if p <= len(rest)]
-        out.append(rest[:LONG_WORD] + "$" * (len(rest) <= LONG_WORD))
-    return out
+    if not w.isalpha():
+        w = "".join([c for c in unicodedata.normalize("NFC", w.translate(LEET)) if c.isalpha()])
+    elif not w.isascii():
+        w = unicodedata.normalize("NFC", w)
+    return DRAWN_OUT.sub(r"\1", w)
+
+
+def pieces_from(word: str, k: int) -> list[str]:
+    """Pieces of a plain word that start at its k-th letter, and the rest with its end marked."""
+    rest = word[k : k + LONG_WORD + 1]
+    return [rest[:p] for p in LENGTHS if p <= len(rest)] + [rest[:LONG_WORD] + "$" * (len(rest) <= LONG_WORD)]
 
 
 def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """string, code (of three characters) and weight of each subsequence; a string begins with the mark of a start."""
     marked = ["^" + s for s in strings]
-    raw = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.int64)
-    code = np.where((raw >= 97) & (raw <= 122), raw - 96, 27 + raw % (CODES - 27))
-    lengths = [len(m) for m in marked]
-    code[np.cumsum([0, *lengths[:-1]])] = 0
-    of = np.repeat(np.arange(len(strings)), lengths)
+    raw = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.int32)
+    code = np.where((raw >= 97) & (raw <= 122), raw - 96, 27 + raw % (CODES - 27)).astype(np.int32)
+    sizes = [len(m) for m in marked]
+    code[np.cumsum([0, *sizes[:-1]])] = 0
+    of = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for j, k in OFFSETS:
+    for k in range(2, SPAN):
         n = len(code) - k
         if n <= 0:
-            continue
+            break
         at = np.flatnonzero(of[:n] == of[k:])
-        out.append((of[at], (code[at] * CODES + code[at + j]) * CODES + code[at + k], np.full(len(at), LAMBDA ** (k + 1))))
+        ends, owner = code[at] * (CODES * CODES) + code[at + k], of[at]
+        for j in range(1, k):
+            out.append((owner, ends + code[at + j] * CODES, np.full(len(at), LAMBDA ** (k + 1))))
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def norms(of: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """Kernel of each string with itself."""
-    both, at = np.unique(of * CODES**3 + code, return_inverse=True)
+    both, at = np.unique(of.astype(np.int64) * CODES**3 + code, return_inverse=True)
     return np.bincount(both // CODES**3, np.bincount(at, weight, len(both)) ** 2, n)
 
 
 @dataclass
 class Kernel:
-    """Kernel values of words against landmarks, remembered for words and pieces seen."""
+    """Values of words at the landmarks, remembered for words seen.
+
+    The first `stems` landmarks are stems; a word that comes near none of them has no values. free: which landmarks count at
+    any letter of a word.
+    """
 
     landmarks: list[str]
-    memo: dict[str, int] = field(default_factory=dict)
+    stems: int | None = None  # all
+    free: list[bool] | None = None  # all
 
     def __post_init__(self) -> None:
+        n = len(self.landmarks)
+        self.stems = n if self.stems is None else self.stems
+        self.free = [True] * n if self.free is None else self.free
         of, code, weight = subsequences(self.landmarks)
         codes, at = np.unique(code, return_inverse=True)
         self.row_of = np.zeros(CODES**3, np.int32)
         self.row_of[codes] = np.arange(1, len(codes) + 1)
-        self.table = np.zeros((len(codes) + 1, len(self.landmarks)))
-        np.add.at(self.table, (at + 1, of), weight)
-        self.table /= np.sqrt(np.maximum(norms(of, code, weight, len(self.landmarks)), 1e-300))
-        self.memo, self.pieces = {}, {}
-        self.rows = [np.zeros(len(self.landmarks))]
+        table = np.zeros((len(codes) + 1, n))
+        np.add.at(table, (at + 1, of), weight)
+        self.own = np.maximum(norms(of, code, weight, n), 1e-300)
+        self.table, self.rough = table, table.astype(np.float32)
+        # what a subsequence adds to a word's nearness to any stem at most
+        self.most = np.zeros(CODES**3, np.float32)
+        self.most[codes] = (table / self.own)[1:, : self.stems].max(1)
+        self.is_free = np.array(self.free, bool)
+        self.memo: dict[str, int] = {}
+        self.rows = [np.zeros(n, np.float32)]
 
     def __getstate__(self) -> dict:
-        return {"landmarks": self.landmarks}
+        return {"landmarks": self.landmarks, "stems": self.stems, "free": self.free}
 
     def __setstate__(self, state: dict) -> None:
-        self.landmarks = state["landmarks"]
+        self.landmarks, self.stems, self.free = state["landmarks"], state["stems"], state["free"]
         self.__post_init__()
 
+    def shared(self, of: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
+        """Kernel of each of n strings with each landmark."""
+        out = np.zeros((n, len(self.landmarks)), table.dtype)
+        hit = np.flatnonzero(self.row_of[code])
+        if len(hit):
+            hit = hit[np.argsort(of[hit], kind="stable")]
+            first = np.flatnonzero(np.append(True, np.diff(of[hit]) > 0))
+            out[of[hit][first]] = np.add.reduceat(table[self.row_of[code[hit]]] * weight[hit, None], first, axis=0)
+        return out
+
+    def near(self, strings: list[str]) -> np.ndarray:
+        """Which strings come near which stems."""
+        n = len(strings)
+        out = np.zeros((n, self.stems), bool)
+        of, code, weight = subsequences(strings)
+        may = np.bincount(of, weight * self.most[code], n) >= NEAR * (1 - 1e-6)
+        keep = may[of]
+        if keep.any():
+            out = (self.shared(of[keep], code[keep], weight[keep], n, self.rough) / self.own)[:, : self.stems] >= NEAR
+        return out
+
     def values(self, strings: list[str]) -> np.ndarray:
-        """Kernel of each string with each landmark; 0 where below FLOOR."""
-        out = np.zeros((len(strings), len(self.landmarks)))
+        """Normalised and squared kernel of each string with each landmark; 0 where below FLOOR."""
         of, code, weight = subsequences(strings)
-        row = self.row_of[code]
-        hit = np.flatnonzero(row)
-        if not len(hit):
-            return out
-        hit = hit[np.argsort(of[hit], kind="stable")]
-        first = np.flatnonzero(np.append(True, np.diff(of[hit]) > 0))
-        out[of[hit][first]] = np.add.reduceat(self.table[row[hit]] * weight[hit, None], first, axis=0)
-        # a string's own kernel is at least the sum of its squared weights: most can be left at 0 by that alone
-        least = np.bincount(of, weight**2, len(strings))
-        near = (least > 0) & (out**2 >= FLOOR * least[:, None]).any(1)
-        out[~near] = 0
-        if near.any():
-            keep = near[of]
-            own = norms(of[keep], code[keep], weight[keep], len(strings))
-            out[near] = np.minimum(out[near] ** 2 / own[near][:, None], 1.0)
+        out = self.shared(of, code, weight, len(strings), self.table)
+        own = norms(of, code, weight, len(strings))
+        out = np.minimum(out**2 / np.maximum(own[:, None] * self.own, 1e-300), 1.0)
         out[out < FLOOR] = 0
         return out
 
-    def of_pieces(self, wanted: list[list[str]]) -> list[np.ndarray | None]:
-        """Best values over the pieces of each list, None for none."""
-        known = self.pieces
-        unknown = list({p for ps in wanted for p in ps}.difference(known))
-        for start in range(0, len(unknown), 5000):
-            part = unknown[start : start + 5000]
-            values = self.values(part)
-            known.update(dict.fromkeys(part, None))
-            for i in np.flatnonzero(values.any(1)).tolist():
-                known[part[i]] = values[i]
-        out = []
-        for ps in wanted:
-            got = [v for p in ps if (v := known[p]) is not None]
-            out.append(None if not got else np.max(got, axis=0) if len(got) > 1 else got[0])
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """Values of plain words: of their best pieces."""
+        out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        near = self.near(words)
+        for inside in (False, True):  # pieces at the start count for all landmarks, others for those that are free
+            some = np.flatnonzero((near & self.is_free[: self.stems]).any(1) if inside else near.any(1)).tolist()
+            lists = [[p for k in range(1, len(words[i]) - STEM[0] + 1) for p in pieces_from(words[i], k)] if inside else pieces_from(words[i], 0) for i in some]
+            owners = np.repeat(np.array(some, np.int64), [len(x) for x in lists])
+            if not len(owners):
+                continue
+            every, at = np.unique([p for x in lists for p in x], return_inverse=True)
+            values = np.concatenate([self.values(every[start : start + 5000].tolist()) for start in range(0, len(every), 5000)])
+            if inside:
+                values[:, ~self.is_free] = 0
+                values[values < INSIDE_FLOOR] = 0
+            np.maximum.at(out, owners, values[at])
         return out
 
-    def may_count(self, words: list[str]) -> list[int]:
-        """The words of which a piece may reach FLOOR: all that they share with a landmark, at any start, bounds what a piece shares."""
-        if not words:
-            return []
-        of, code, weight = subsequences([w + "$" for w in words])
-        share = np.zeros((len(words), len(self.landmarks)))
-        # each subsequence once as it stands, once with its first character taken for the mark of a start
-        for row in (self.row_of[code], np.where(code >= CODES**2, self.row_of[code % CODES**2], 0)):
-            hit = np.flatnonzero(row)
-            hit = hit[np.argsort(of[hit], kind="stable")]
-            if len(hit):
-                first = np.flatnonzero(np.append(True, np.diff(of[hit]) > 0))
-                share[of[hit][first]] += np.add.reduceat(self.table[row[hit]] * weight[hit, None], first, axis=0)
-        # a piece's own kernel is at least the sum of its squared weights, which grows with its length
-        own = lambda n: sum(max(0, n - k) * (k - 1) * LAMBDA ** (2 * k + 2) for k in range(2, SPAN))
-        least = np.array([own(min(len(w), STEM[0]) + 1) for w in words])
-        return np.flatnonzero(((share > 0) & (share**2 >= FLOOR * least[:, None] * (1 - 1e-9))).any(1)).tolist()
-
     def learn(self, words: set[str]) -> None:
-        """Makes sure that the memo has these words; memos start anew when they are full."""
+        """Makes sure that the memo has these words; it starts anew when it is full."""
         new = list(words.difference(self.memo))
         if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo, self.pieces, self.rows, new = {}, {}, self.rows[:1], list(words)
-        letters = [plain(w) for w in new]
+            self.memo, self.rows, new = {}, self.rows[:1], list(words)
         self.memo.update(dict.fromkeys(new, 0))
-        near = [start + k for start in range(0, len(letters), 5000) for k in self.may_count(letters[start : start + 5000])]
-        for start in range(0, len(near), 1000):
-            part = near[start : start + 1000]
-            for i, v in zip(part, self.of_pieces([all_pieces(letters[i]) for i in part])):
-                if v is not None:
-                    self.memo[new[i]] = len(self.rows)
-                    self.rows.append(v)
-            if len(self.pieces) > MEMO_PIECES:
-                self.pieces = {}
+        letters = [plain(w) for w in new]
+        able = [i for i, w in enumerate(letters) if len(w) >= STEM[0]]
+        for start in range(0, len(able), 2000):
+            part = able[start : start + 2000]
+            values = self.of_words([letters[i] for i in part])
+            for k in np.flatnonzero(values.any(1)).tolist():
+                self.memo[new[part[k]]] = len(self.rows)
+                self.rows.append(values[k])
 
     def sentences(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """For each text: best values for each landmark of the sentences that have any, values of the different words that
@@ -304,11 +320,18 @@ def sampled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str,
     y = labels.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").cast("int").alias("y")).filter("__key is not null and y in (0, 1)")
     y = written(y.groupBy("__key").agg(F.max("y").alias("y")), "labels")
     order = F.xxhash64(F.lit("sample"), F.col("__key"))
-    few = y.filter("y = 1").orderBy(order, "__key").limit(rows).unionByName(y.filter("y = 0").orderBy(order, "__key").limit(rows))
-    few = written(few, "few")
+    first = lambda df, *by: [df.filter(F.col("y") == c).orderBy(*by).limit(rows) for c in (1, 0)]
+    up, down = first(y, order, "__key")
+    few = written(up.unionByName(down), "few")
     texts = only(docs, key, text).toDF("k", "t").join(F.broadcast(few), F.col("k") == F.col("__key"))
+    # a key may have many rows: the bound holds for rows, not only for keys
+    texts = written(texts.select("k", "__key", "y", F.coalesce("t", F.lit("")).alias("t"), F.xxhash64("t").alias("h")), "texts")
+    up, down = first(texts.select("__key", "y", "h").withColumn("n", F.row_number().over(Window.partitionBy("__key", "h").orderBy("y"))), order, "__key", "h", "n")
+    most = written(up.unionByName(down).groupBy("__key", "h").agg(F.max("n").alias("n")), "most")
+    place = F.row_number().over(Window.partitionBy("__key", "h").orderBy("t"))
+    kept = texts.join(F.broadcast(most), ["__key", "h"]).withColumn("__n", place).filter(F.col("__n") <= F.col("n"))
     share = y.agg(F.avg("y")).first()[0] or 0.0
-    return written(texts.select("k", "y", F.coalesce("t", F.lit("")).alias("t")), "sample"), float(share)
+    return written(kept.select("k", "y", "t"), "sample"), float(share)
 
 
 def surprise(up: Column, down: Column, all_up: float, all_down: float) -> Column:
@@ -324,91 +347,115 @@ def choose(ordered: list[str], most: int) -> list[str]:
     for stem in ordered:
         if len(out) == most:
             break
-        if not any(stem.startswith(o) or o.startswith(stem) for o in out):
+        if not any(stem in o or o in stem for o in out):
             out.append(stem)
     return out
 
 
+def counted_words(sample: DataFrame) -> DataFrame:
+    """w, up, down: in how many documents of each class a word comes up.
+
+    Copies of documents would make any of their words telling. So a word counts where it stands between two neighbours
+    that no document before has it between, and once in a document.
+    """
+    words = F.regexp_extract_all("t", F.lit(f"({WORD})"), F.lit(1))
+    around = lambda a: F.transform(F.sequence(F.lit(1), F.size(a)), lambda i: F.struct(F.element_at(a, i).alias("word"), F.xxhash64(F.try_element_at(a, i - 1 + F.when(i == 1, -1).otherwise(0)), F.element_at(a, i), F.try_element_at(a, i + 1)).alias("window")))
+    held = sample.select("y", F.xxhash64("k", "t").alias("doc"), words.alias("a")).filter(F.size("a") > 0)
+    each = held.select("y", "doc", F.explode(F.element_at(F.transform(F.array("a"), around), 1)).alias("x")).select("y", "doc", "x.word", "x.window")
+    once = each.groupBy("word", "y", "window").agg(F.min("doc").alias("doc")).groupBy("word", "y").agg(F.count_distinct("doc").alias("n"))
+
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([plain(w) for w in batch.column(0).to_pylist()]), batch.column(1), batch.column(2)], ["w", "y", "n"])
+
+    of_class = lambda y: F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).cast("double")
+    return once.select("word", "y", "n").mapInArrow(letters, "w string, y int, n bigint").filter(F.length("w") >= STEM[0]).groupBy("w").agg(of_class(1).alias("up"), of_class(0).alias("down"))
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS) -> Model:
-    """Fits a model on labelled documents (labels: key and label 0 or 1; give only those it may learn from)."""
-    small_batches(docs)
+    """Fits a model on labelled documents (labels: key and label 0 or 1; give only those it may learn from).
+
+    At most `rows` rows of each class are used, all of their sentences and words. Sentences with equal values come to the
+    driver as one row each and document, with bytes for values.
+    """
     sample, share = sampled(docs, labels, text, key, label, rows)
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Model(None, prior=float(bool(sizes.get(1))))
-
-    def stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            once: Counter[tuple[str, int]] = Counter()
-            twice: Counter[tuple[str, int]] = Counter()
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = {plain(w) for w in WORDS.findall(t)}
-                found = Counter(w[:n] for w in words for n in STEM if n <= len(w))
-                found.update(w + "$" for w in words if STEM[0] <= len(w) <= LONG_WORD)
-                once.update((p, y) for p in found)
-                twice.update((p, y) for p, k in found.items() if k > 1)
-            columns = [p for p, _ in once], [y for _, y in once], list(once.values()), [twice[x] for x in once]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))], ["w", "y", "n", "nn"])
-
-    # stems whose share of documents, as one word or as several different ones, is most unlike in the classes
-    of_class = lambda n, y: F.sum(F.when(F.col("y") == y, F.col(n)).otherwise(0)).cast("double")
-    shares = sample.select("y", "t").mapInArrow(stems, "w string, y int, n bigint, nn bigint").groupBy("w").agg(of_class("n", 1).alias("up"), of_class("n", 0).alias("down"), of_class("nn", 1).alias("up2"), of_class("nn", 0).alias("down2"))
-    shares = written(shares, "shares")
-    telling = F.greatest(*[surprise(F.col(u), F.col(d), float(sizes[1]), float(sizes[0])) for u, d in (("up", "down"), ("up2", "down2"))])
-    ordered = shares.filter("not endswith(w, '$')").withColumn("s", F.round(telling, 6)).filter(F.col("s") >= TELLING).orderBy(F.col("s").desc(), F.length("w").desc(), "w").limit(CANDIDATES)
-    found = ordered.collect()
-    top = choose([r["w"] for r in found if r["s"] >= TELLING_SHARE * found[0]["s"]], landmarks)
+    words = written(counted_words(sample), "words")
+    all_up, all_down = (float(x or 0.0) + 1.0 for x in words.agg(F.sum("up"), F.sum("down")).first())
+    stems = F.explode(F.transform(F.sequence(F.lit(STEM[0]), F.least(F.lit(STEM[-1]), F.length("w"))), lambda n: F.call_function("substr", F.col("w"), F.lit(1), n)))
+    shares = words.select(stems.alias("w"), "up", "down").groupBy("w").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    shares = shares.filter((F.col("up") / all_up) >= LIFT * (F.col("down") + 0.5) / all_down).withColumn("s", F.round(surprise(F.col("up"), F.col("down"), all_up, all_down), 6)).filter(F.col("s") >= TELLING)
+    # a word has seven stems, and a stem hides those that hold it: so many are enough to choose from
+    found = shares.orderBy(F.col("s").desc(), F.length("w").desc(), "w").limit(50 * landmarks).collect()
+    top = choose([r["w"] for r in found], landmarks)
     if not top:
         return Model(None, prior=sizes[1] / (sizes[0] + sizes[1]))
-    alike = shares.filter("endswith(w, '$') and down > 0").withColumn("stem", F.try_element_at(F.filter(F.array(*[F.lit(t) for t in top]), lambda t: F.startswith(F.col("w"), t)), F.lit(1))).filter("stem is not null")
+    # a stem is free where clean documents hardly ever have it inside a word
+    begins, inside = F.startswith, lambda w, t: F.contains(w, t) & ~F.startswith(w, t)
+    counts = [F.sum(F.when(how(F.col("w"), F.lit(t)), F.col(c)).otherwise(0.0)) for t in top for how, c in ((begins, "up"), (inside, "down"))]
+    held = words.agg(*counts).first()
+    free = [held[2 * i + 1] / all_down <= INSIDE * held[2 * i] / all_up for i in range(len(top))]
+    of_stems = Kernel(top, len(top), free)
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ws, down = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            near, stem = np.nonzero(of_stems.of_words(ws)) if ws else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array([ws[i] for i in near], pa.string()), pa.array([int(j) for j in stem], pa.int32()), pa.array([down[i] for i in near], pa.float64())], ["w", "stem", "down"])
+
     place = F.row_number().over(Window.partitionBy("stem").orderBy(F.col("down").desc(), "w"))
-    top += sorted(r["w"] for r in alike.withColumn("place", place).filter(F.col("place") <= LOOKALIKES).select("w").collect())
-    kernel = Kernel(top)
+    clean_words = words.filter("down > 1 and down >= up").select("w", "down").mapInArrow(alike, "w string, stem int, down double")
+    near = clean_words.withColumn("place", place).filter(F.col("place") <= LOOKALIKES).groupBy("w").agg(F.min("stem").alias("stem")).orderBy("w").collect()
+    near = [(r["w"][:LONG_WORD] + "$" * (len(r["w"]) <= LONG_WORD), free[r["stem"]]) for r in near]
+    kernel = Kernel(top + [w for w, _ in near], len(top), free + [f for _, f in near])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, kinds, texts = (batch.column(c).to_pylist() for c in range(3))
-            for k, y, (best, words, n) in zip(keys, kinds, kernel.sentences(texts)):
-                rest = n - len(best)
-                best, words = best[:SAMPLE_SENTENCES], words[:SAMPLE_SENTENCES]
-                x = np.concatenate([*([np.zeros((1, len(top)))] if rest else []), best, words])
-                m = np.array([min(rest, SAMPLE_SENTENCES)] * bool(rest) + [1] * len(best) + [0] * len(words), np.float64)
-                packed = [r.tobytes() for r in x.astype("<f4")]
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(x)), pa.array([y] * len(x), pa.int32()), pa.array(m), pa.array(packed, pa.binary())], ["k", "y", "m", "x"])
-
-    kind = sample.schema["k"].dataType.simpleString()
-    rows_ = sample.mapInArrow(features, f"k {kind}, y int, m double, x binary").collect()
-    rows_.sort(key=lambda r: (r["k"], -r["m"], bytes(r["x"])))
-    packed = np.frombuffer(b"".join([r["x"] for r in rows_]), "<f4").reshape(len(rows_), len(top)).astype(float)
-    every = np.unique([r["k"] for r in rows_], return_inverse=True)[1], np.array([r["y"] for r in rows_]), np.array([r["m"] for r in rows_]), packed
-    of, y, m, x = (c[every[2] > 0] for c in every)  # sentences; words have a weight of 0
-    gram = kernel.values(top)
+        for batch in slices(batches, 2):
+            out: list[tuple] = []
+            for k, y, (best, words, n) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), kernel.sentences(batch.column(2).to_pylist())):
+                packed = lambda x: Counter(r.tobytes() for r in np.round(x * STEPS).astype(np.uint8))
+                out += [(k, y, float(m), False, v) for v, m in packed(best).items()] + [(k, y, float(m), True, v) for v, m in packed(words).items()]
+                if n > len(best):
+                    out.append((k, y, float(n - len(best)), False, bytes(len(kernel.landmarks))))
+            columns = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array([f"{k}" for k in columns[0]], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.bool_()), pa.array(columns[4], pa.binary())], ["k", "y", "m", "word", "x"])
+
+    rows_ = sample.mapInArrow(features, "k string, y int, m double, word boolean, x binary").toArrow()
+    order = np.lexsort([rows_.column("x").to_numpy(), rows_.column("word").to_numpy(), rows_.column("k").to_numpy()])
+    _, of = np.unique(rows_.column("k").to_numpy()[order].astype(str), return_inverse=True)
+    y, m, word = (rows_.column(c).to_numpy()[order] for c in ("y", "m", "word"))
+    x = np.frombuffer(b"".join(rows_.column("x").to_numpy()[order]), np.uint8).reshape(len(of), len(kernel.landmarks)).astype(np.float32) / STEPS
+    gram = kernel.values(kernel.landmarks).astype(float)
     gram = (gram + gram.T) / 2
     value, vector = np.linalg.eigh(gram)
     whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
-    z = x @ whiten
+    s = np.flatnonzero(~word)  # sentences
+    z = x[s] @ whiten
     # at first those sentences of toxic documents are toxic that come nearest to a telling stem
-    near = x[:, [not t.endswith("$") for t in top]].max(1)
+    near = x[s][:, : kernel.stems].max(1)
     nearest = np.zeros(of.max() + 1)
-    np.maximum.at(nearest, of, near)
-    bad, w = (y == 1) & (near >= np.minimum(nearest[of], 0.9)) & (near > 0), None
+    np.maximum.at(nearest, of[s], near)
+    bad, w = (y[s] == 1) & (near >= np.minimum(nearest[of[s]], 0.9)) & (near >= CLOSE), None
     if not bad.any():
-        bad = y == 1
+        bad = y[s] == 1
     for _ in range(12):
-        weight = np.where(bad, 0.5 / max(1, m[bad].sum()), 0.5 / max(1, m[~bad].sum())) * m * COST
+        weight = np.where(bad, 0.5 / max(1, m[s][bad].sum()), 0.5 / max(1, m[s][~bad].sum())) * m[s] * COST
         w = fit_svm(z, np.where(bad, 1.0, -1.0), weight)
         margin = z @ w[:-1] + w[-1]
         worst = np.full(of.max() + 1, -np.inf)
-        np.maximum.at(worst, of, margin)
-        new = (y == 1) & ((margin > 0) | (margin >= worst[of] - 1e-12))
+        np.maximum.at(worst, of[s], margin)
+        new = (y[s] == 1) & (near >= CLOSE) & ((margin > 0) | (margin >= worst[of[s]] - 1e-12))
         if (new == bad).all():
             break
         bad = new
-    direction, documents, truth = whiten @ w[:-1], [], []
-    of, y, m, x = every
-    for spots in np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of))[:-1]):
-        margin, some, words = x[spots] @ direction + w[-1], x[spots].any(1) & (m[spots] > 0), m[spots] == 0
-        documents.append(of_document(margin[some], margin[words], float(w[-1]), m[spots].sum()))
+    margin, some = x @ (whiten @ w[:-1]) + w[-1], x.any(1)
+    documents, truth = [], []
+    for spots in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
+        sentence = spots[~word[spots]]
+        known, words_ = sentence[some[sentence]], spots[word[spots]]
+        documents.append(of_document(np.repeat(margin[known], m[known].astype(int)), np.repeat(margin[words_], m[words_].astype(int)), float(w[-1]), m[sentence].sum()))
         truth.append(y[spots[0]])
     return Model(kernel, whiten, w, fit_logistic(np.array(documents), np.array(truth), min(max(share, 0.02), 0.98)))
 
@@ -420,11 +467,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     """
     if out in docs.columns:
         raise ValueError(f"column {out} is there already")
-    small_batches(docs)
     at, schema = docs.columns.index(text), StructType([*docs.schema.fields, StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             scores = model.score([t or "" for t in batch.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, out])
 

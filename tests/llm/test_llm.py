@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagefold.llm import bpe, exact_dedup, html_extract, knn, mixing, secrets, simhash, token_counts, token_store, toxicity
@@ -516,12 +517,51 @@ def test_kernel_finds_insults_at_any_letter():
     kernel.learn(set(words))
     best = {w: kernel.rows[kernel.memo[w]].max() for w in words}
     assert all(best[w] > 0.99 for w in words[:5]) and all(best[w] >= toxicity.FLOOR for w in words[5:7])
-    # the bound leaves out no word of which a piece has a value
+    # the values are those of the best pieces, by the definition
     rnd = random.Random(3)
-    more = ["".join(rnd.choices("idotrashcum", k=rnd.randint(0, 14))) for _ in range(400)] + [toxicity.plain(w) for w in words]
-    kept = set(kernel.may_count(more))
-    assert all(i in kept for i, w in enumerate(more) if kernel.values(toxicity.all_pieces(w)).any())
-    assert len(kept) < len(more)
+    more = ["".join(rnd.choices("idotrashcum", k=rnd.randint(3, 14))) for _ in range(300)] + [rnd.choice("xyz") * rnd.randint(0, 2) + rnd.choice(["idiot", "trash", "idixot", "scum"]) + rnd.choice(["", "s", "zzz"]) for _ in range(100)]
+    kernel = toxicity.Kernel(["idiot", "trash", "scum"], free=[True, False, True])
+    near, got = kernel.near(more), kernel.of_words(more)
+    assert 50 < near.any(1).sum() < len(more)
+    for i, w in enumerate(more):
+        want = np.zeros(3)
+        if near[i].any():
+            want = kernel.values(toxicity.pieces_from(w, 0)).max(0)
+        if near[i][[0, 2]].any():
+            for k in range(1, len(w) - 2):
+                inside = kernel.values(toxicity.pieces_from(w, k)).max(0) * [1, 0, 1]
+                want = np.maximum(want, np.where(inside >= toxicity.INSIDE_FLOOR, inside, 0))
+        assert np.allclose(got[i], want, atol=1e-6)
+
+
+@pytest.mark.parametrize("word,letters", [("iiidddiiiooottt", "idiot"), ("1d10t!", "idiot"), ("you-IDIOT", "youidiot"), ("Trrrash", "trash"), ("boot", "boot"), ("", ""), ("--", "")])
+def test_plain_words(word, letters):
+    assert toxicity.plain(word) == letters
+
+
+def test_words_of_copied_documents_count_once(spark):
+    """Thirty copies with small changes make their words no more telling than one; a word in ever new places counts each time."""
+    rnd = random.Random(2)
+    filler = [f"w{chr(97 + i)}{chr(97 + j)}x" for i in range(20) for j in range(20)]
+    text = " ".join(rnd.sample(filler, 60)).split()
+    rows = []
+    for i in range(30):
+        words = list(text)
+        words[rnd.randrange(60)] = rnd.choice(filler)
+        rows.append((i, 1, " ".join(words)))
+    for i in range(30, 60):
+        words = rnd.sample(filler, 30)
+        words[rnd.randrange(30)] = "grunkle"
+        rows.append((i, 1, " ".join(words)))
+    counts = {r["w"]: r["up"] for r in toxicity.counted_words(spark.createDataFrame(rows, "k bigint, y int, t string")).collect()}
+    assert counts["grunkle"] == 30 and np.median([counts[w] for w in text]) < 8
+
+
+def test_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(i % 5, f"text {i % 7}") for i in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id bigint, toxic int")
+    sample, share = toxicity.sampled(docs, labels, "text", "doc_id", "toxic", 20)
+    assert {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()} == {0: 20, 1: 20} and abs(share - 0.4) < 1e-9
 
 
 def test_token_store(docs, empty, tmp_path):
