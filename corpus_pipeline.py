@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pagefold.llm import bpe, exact_dedup, mixing, simhash, toxicity
-from pagefold.llm.common import table, written
+from pagefold.llm.common import fresh_path, remove, table, tidied, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. A stage's intermediates and the input that it was written from are deleted once it is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with tidied(spark, path):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint(spark: SparkSession) -> None:
-    """The shared folder of spark.checkpoint.dir is used where it is set; else, as in tests, a temporary one."""
+    """The shared folder of spark.checkpoint.dir is used where it is set; a local run, as in tests, takes a temporary one."""
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagefold-"))
 
 
