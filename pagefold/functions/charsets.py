@@ -15,7 +15,7 @@ ARABIC_DECODER = "؀-ۿﭐ-﻿"
 ARABIC_RENDERER = "؀-ۿݐ-ݿࢠ-ࣿ"
 
 # fixed values: letters that stand for one another, as from-characters and to-characters (none at the end: dropped)
-UNIFY = ("أإآٱٲٳىئؤةۀکیء", "اااااايي" + "وههكي")
+UNIFY = ("أإآٱٲٳىئؤةۀکیء", "ااااااييوههكي")
 UNIFY_LAYOUT = ("أإآٱىئٮؤةء", "اااايييوه")
 GLYPH_VARIANTS = ("ھەیٮےک", "ههيييك")
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
@@ -34,6 +34,7 @@ SHADDA = "ّ"
 FAKE_MARKS = "ۡۖ"
 VERSE_OPEN, VERSE_CLOSE = "﴾", "﴿"
 DOUBT = "⟨؟⟩"
+WORD_SIGN = "[A-Za-z0-9٠-٩ض-ي]"
 
 # fixed values: tokens of Arabic words with their marks
 ARABIC_TOKEN = f"[{ARABIC_LETTERS}][{ARABIC_LETTERS}{DIACRITICS_BOOK}]*"

@@ -15,6 +15,9 @@ from pyspark.sql.group import GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pagefold.functions import charsets as cs
+from pagefold.functions import text as tx
+from pagefold.operators import quality
 from pagefold.operators.corpus import ratio
 
 GAP = -0.3
@@ -106,14 +109,18 @@ def pages_of(lines: DataFrame, by: list[str], order: str, text: str) -> GroupedD
 
 
 def align_pages(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str, full: bool = False) -> DataFrame:
-    """by, left_no, right_no, how: a full outer pairing of the lines of two versions of each page."""
+    """by, left_no, right_no, how: a full outer pairing of the lines of two versions of each page.
+
+    how: aligned, weak (aligned, but hardly alike), digits, second (a second chance, in any order), left or right (alone).
+    """
     schema = left.select(*by).schema.simpleString()[7:-1] + ", left_no bigint, right_no bigint, how string"
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         (no_a, x), (no_b, y) = in_order(a, order, text), in_order(b, order, text)
         if full:
             pairs, findings = map_lines(x, y)
-            rows = [(i, j, how) for i, j, how in pairs] + [(i, None, "left") if kind == "left only" else (None, i, "right") for kind, i in findings if kind != "weak"]
+            weak = {i for kind, i in findings if kind == "weak"}
+            rows = [(i, j, "weak" if i in weak and how == "aligned" else how) for i, j, how in pairs] + [(i, None, "left") if kind == "left only" else (None, i, "right") for kind, i in findings if kind != "weak"]
         else:
             matched, one, two = align(x, y)
             rows = [(i, j, "aligned") for i, j in matched] + [(i, None, "left") for i in one] + [(None, j, "right") for j in two]
@@ -162,6 +169,39 @@ def spread_characters(clusters: list[str], final: str) -> list[str]:
     return out
 
 
+def spread_line(segments: list[list[str]], final: str) -> list[list[str]]:
+    """The final text of a line, dealt out to the clusters of its segments. A segment that would be left blank keeps its text."""
+    flat = spread_characters([c for s in segments for c in s], final)
+    out, at = [], 0
+    for s in segments:
+        part = flat[at : at + len(s)]
+        at += len(s)
+        out.append(part if "".join(part).strip() else list(s))
+    return out
+
+
+def transfer_segments(segments: Column, final: Column) -> Column:
+    """Array of the segments' clusters' final texts (arrays of arrays); those of a line without a final text stay."""
+
+    @F.pandas_udf("array<array<string>>")
+    def run(c: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else [list(s) for s in x] if y is None else spread_line([list(s) for s in x], y) for x, y in zip(c, t)])
+
+    return run(segments, final)
+
+
+def segment_text(clusters: Column) -> Column:
+    """Text of a segment's clusters (text, sp: whether a space stands before it, where none is yet)."""
+    add = lambda acc, c: F.concat(acc, F.when(c["sp"] & (acc != "") & ~F.endswith(acc, F.lit(" ")), F.lit(" ")).otherwise(F.lit("")), c["text"])
+    return F.aggregate(clusters, F.lit(""), add)
+
+
+def line_text(segments: Column) -> Column:
+    """Text of a line from its segments' texts: blank ones left out, no space before closing punctuation."""
+    parts = F.filter(segments, lambda s: tx.strip(s) != "")
+    return tx.strip(tx.tidy_punctuation(F.array_join(parts, " ")))
+
+
 def transfer_text(clusters: Column, final: Column) -> Column:
     """Array of the clusters' final texts."""
 
@@ -193,3 +233,39 @@ def absorb_markers(lines: DataFrame, by: list[str], order: str, y: str, is_marke
     from pagefold.operators.spatial import nearest_join
 
     return nearest_join(markers, hosts, by, "__my", "__hy", farthest, [*by, "marker"], ["host"]).select(*by, "marker", "host", "distance")
+
+
+def with_absorbed(lines: DataFrame, by: list[str], order: str, segments: str, absorbed: DataFrame) -> DataFrame:
+    """The lines, marker lines taken into their hosts: their segments stand behind the host's, in order of the markers.
+
+    absorbed: by, marker, host (as absorb_markers gives them). segments: an array column.
+    """
+    taken = lines.select(*by, F.col(order).alias("marker"), F.col(segments).alias("__s")).join(absorbed.select(*by, "marker", "host"), [*by, "marker"])
+    more = taken.groupBy(*by, F.col("host").alias(order)).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("marker", "__s"))), lambda s: s["__s"])).alias("__more"))
+    kept = lines.join(absorbed.select(*by, F.col("marker").alias(order)), [*by, order], "left_anti").join(more, [*by, order], "left")
+    return kept.withColumn(segments, F.when(F.col("__more").isNull(), F.col(segments)).otherwise(F.concat(segments, "__more"))).drop("__more")
+
+
+def uncovered(right: DataFrame, left: DataFrame, by: list[str], text: str, key: str) -> DataFrame:
+    """Lines of the right that the left's lines of the same page don't hold: key in a line's key, or for marker lines all digits in
+    the page's text. Scraps of up to three signs count as held. Both sides: by, text, key (in comparable form)."""
+    pages = left.groupBy(*by).agg(F.collect_set(key).alias("__keys"), F.array_join(F.collect_list(text), "").alias("__page"))
+    scrap = ~F.col(text).rlike(cs.WORD_SIGN) & (F.length(tx.strip(F.col(text))) <= 3)
+    held = F.exists("__keys", lambda k: F.contains(k, F.col(key))) & (F.col(key) != "")
+    digits = F.forall(F.split(F.regexp_replace(text, r"[^\p{Nd}]", ""), ""), lambda c: F.contains(F.col("__page"), c))
+    marker = quality.is_marker_line(F.col(text)) & digits
+    joined = right.join(pages, by, "left")
+    return joined.filter(~(scrap | F.coalesce(held, F.lit(False)) | F.coalesce(marker, F.lit(False)))).select(*right.columns)
+
+
+def mapping_report(pairs: DataFrame, left: DataFrame, right: DataFrame, page: str = "page", order: str = "no", text: str = "text", key: str = "key") -> DataFrame:
+    """page, kind, left, right of what a reader of a mapping should see: weak pairs, lines of the left alone that hold more than markers,
+    and lines of the right alone that the left doesn't hold. In order of page, kind and line."""
+    l, r = (df.select(page, F.col(order).cast("bigint").alias(f"{n}_no"), F.col(text).alias(n), F.col(key).alias(f"{n}_key")) for n, df in (("left", left), ("right", right)))
+    told = pairs.join(l, [page, "left_no"], "left").join(r, [page, "right_no"], "left")
+    weak = told.filter("how = 'weak'").withColumn("kind", F.lit("weak match"))
+    alone = told.filter((F.col("how") == "left") & (F.col("left_key") != "") & ~quality.is_marker_line(F.col("left"))).withColumn("kind", F.lit("kept as it was"))
+    lost = uncovered(told.filter("how = 'right'").select(page, "left_no", "right_no", "left", F.col("right").alias(text), F.col("right_key").alias(key)), left, [page], text, key)
+    lost = lost.select(page, "left_no", "right_no", "left", F.col(text).alias("right"), F.lit("not mapped").alias("kind"))
+    out = weak.unionByName(alone, allowMissingColumns=True).select(page, "kind", "left_no", "right_no", "left", "right").unionByName(lost.select(page, "kind", "left_no", "right_no", "left", "right"))
+    return out.orderBy(page, "kind", F.coalesce("left_no", "right_no"))

@@ -1,20 +1,55 @@
 """Order-dependent grouping of rows: bands, segments, runs and islands.
 
-Where a group's state depends on its own first row, a fold over the sorted rows of one key does it on the JVM; a lag would
-give other groups. A key is a page, a line or a user.
+Where a group's state depends on its own first row, the sorted rows of a key stream through a fold; a lag would give other
+groups. A key is a page, a line or a user.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window
 
 
-def upper_median(c: Column) -> Column:
-    """Element n // 2 of the sorted values: the upper of the two middle ones."""
-    values = F.array_sort(F.collect_list(c))
-    return F.element_at(values, F.floor(F.size(values) / 2).cast("int") + 1)
+def upper_median(name: str) -> Column:
+    """Aggregate: element n // 2 of the sorted values, the upper of the two middle ones. Counts of values are merged, no group is
+    collected."""
+    return F.expr(f"percentile_disc(0.5) within group (order by `{name}` desc)")
+
+
+def folded(df: DataFrame, by: list[str], order: list[str], columns: list[str], start: tuple, step: Callable[[tuple, tuple], tuple[tuple, tuple]], out: str) -> DataFrame:
+    """by, and what step(state, row) gives beside the next state, for the rows (columns) of each group in order.
+
+    Rows are dealt out by group, sorted, and stream through one function that carries the state from row to row, so that time grows
+    with the rows, and a group of any size needs the memory of one batch.
+    """
+    sorted_rows = df.select(*by, *order, *[c for c in columns if c not in [*by, *order]]).repartition(*by).sortWithinPartitions(*by, *order)
+    keys = sorted_rows.select(*by).schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.fields) + ", " + out
+    names = [f.split()[0].strip("`") for f in out.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, state, target = None, start, None
+        for batch in batches:
+            at = batch.schema.names
+            groups = list(zip(*[batch.column(at.index(c)).to_pylist() for c in by]))
+            found = []
+            for g, row in zip(groups, zip(*[batch.column(at.index(c)).to_pylist() for c in columns])):
+                if g != group:
+                    group, state = g, start
+                state, result = step(state, row)
+                found.append(result)
+            made = list(zip(*found)) or [()] * len(names)
+            target = target or [to_arrow_type(t.dataType) for t in parsed[len(by) :]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(at.index(c)) for c in by], *[pa.array(v, t) for v, t in zip(made, target)]], [*by, *names])
+
+    parsed = _parse_datatype_string(schema).fields
+    return sorted_rows.mapInArrow(run, schema)
 
 
 def gap_segments(df: DataFrame, by: list[str], start: str, end: str, order: list[str], gap: float, out: str = "segment") -> DataFrame:
@@ -28,17 +63,15 @@ def gap_segments(df: DataFrame, by: list[str], start: str, end: str, order: list
 def layout_segments(df: DataFrame, by: list[str], start: str, end: str, height: str, order: str, gap: float = 6.0, raised_gap: float = 1.2, rise: float = 2.4) -> DataFrame:
     """Segments of the clusters of a line: a new one after a gap to all before, or after a small gap where the height
     leaves that of the segment's first cluster. Returns by, order, segment (from 1)."""
-    row = F.struct(F.col(start).alias("a"), F.col(order).alias("o"), F.col(end).alias("b"), F.col(height).alias("y"))
-    zero = F.struct(F.lit(None).cast("double").alias("reach"), F.lit(None).cast("double").alias("first"), F.lit(0).alias("n"), F.array().cast("array<struct<o:bigint,segment:int>>").alias("out"))
 
-    def step(acc: Column, r: Column) -> Column:
-        away = r["a"] - acc["reach"]
-        opens = acc["reach"].isNull() | (away > gap) | ((away > raised_gap) & (F.abs(r["y"] - acc["first"]) > rise))
-        n = acc["n"] + opens.cast("int")
-        return F.struct(F.greatest(acc["reach"], r["b"]).alias("reach"), F.when(opens, r["y"]).otherwise(acc["first"]).alias("first"), n.alias("n"), F.array_append(acc["out"], F.struct(r["o"].cast("bigint").alias("o"), n.alias("segment"))).alias("out"))
+    def step(state: tuple, row: tuple) -> tuple[tuple, tuple]:
+        reach, first, n = state
+        o, a, b, y = row
+        opens = reach is None or a - reach > gap or (a - reach > raised_gap and abs(y - first) > rise)
+        n += opens
+        return (b if reach is None else max(reach, b), y if opens else first, n), (o, n)
 
-    folded = df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("rows")).select(*by, F.explode(F.aggregate("rows", zero, step, lambda acc: acc["out"])).alias("x"))
-    return folded.select(*by, F.col("x.o").alias(order), F.col("x.segment").alias("segment"))
+    return folded(df.withColumn(order, F.col(order).cast("bigint")), by, [start, order], [order, start, end, height], (None, None, 0), step, f"{order} bigint, segment int")
 
 
 def anchored_bands(df: DataFrame, by: list[str], value: str, tolerance: float) -> DataFrame:
@@ -46,27 +79,26 @@ def anchored_bands(df: DataFrame, by: list[str], value: str, tolerance: float) -
 
     Returns by, value, leader: a row for each row, of values that are not null.
     """
-    zero = F.array().cast("array<struct<value:double,leader:double>>")
 
-    def step(acc: Column, v: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))["leader"]
-        return F.array_append(acc, F.struct(v.alias("value"), F.when(v - last <= tolerance, last).otherwise(v).alias("leader")))
+    def step(state: tuple, row: tuple) -> tuple[tuple, tuple]:
+        (leader,), (v,) = state, row
+        leader = v if leader is None or v - leader > tolerance else leader
+        return (leader,), (v, leader)
 
-    folded = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("v"))
-    return folded.select(*by, F.explode(F.aggregate("v", zero, step)).alias("x")).select(*by, F.col("x.value").alias(value), F.col("x.leader").alias("leader"))
+    rows = df.filter(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    return folded(rows, by, [value], [value], (None,), step, f"{value} double, leader double")
 
 
 def overlaid(df: DataFrame, by: list[str], x: str, width: str, order: str, least: float = 0.3, share: float = 0.25) -> DataFrame:
     """Flags rows that stand on the last unflagged row before them: nearer than max(least, share of its width)."""
-    row = F.struct(F.col(order).cast("bigint").alias("o"), F.col(x).alias("x"), F.col(width).alias("w"))
-    zero = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("w"), F.array().cast("array<struct<o:bigint,overlaid:boolean>>").alias("out"))
 
-    def step(acc: Column, r: Column) -> Column:
-        on = F.coalesce(r["x"] - acc["x"] < F.greatest(F.lit(least), acc["w"] * share), F.lit(False))
-        return F.struct(F.when(on, acc["x"]).otherwise(r["x"]).alias("x"), F.when(on, acc["w"]).otherwise(r["w"]).alias("w"), F.array_append(acc["out"], F.struct(r["o"].alias("o"), on.alias("overlaid"))).alias("out"))
+    def step(state: tuple, row: tuple) -> tuple[tuple, tuple]:
+        (at, wide), (o, here, w) = state, row
+        on = at is not None and here - at < max(least, wide * share)
+        return (at, wide) if on else (here, w), (o, on)
 
-    folded = df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("rows")).select(*by, F.explode(F.aggregate("rows", zero, step, lambda acc: acc["out"])).alias("z"))
-    return df.join(folded.select(*by, F.col("z.o").alias(order), F.col("z.overlaid").alias("overlaid")), [*by, order])
+    flags = folded(df.withColumn(order, F.col(order).cast("bigint")), by, [order], [order, x, width], (None, None), step, f"{order} bigint, overlaid boolean")
+    return df.join(flags, [*by, order])
 
 
 def islands(df: DataFrame, by: list[str], order: list[str], kind: Column, out: str = "run") -> DataFrame:

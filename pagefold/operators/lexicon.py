@@ -112,14 +112,20 @@ def transfer_marks(original: Column, target: Column, marks: str, compat: bool =
     return move(original, target)
 
 
-def replace_tokens(lines: DataFrame, key: list[str], text: str, table: DataFrame, pattern: str, out: str = "corrected") -> DataFrame:
-    """Lines with each token replaced as table (word, correction) says; what stands between tokens stays.
+def outcome_counts(corrected: DataFrame) -> DataFrame:
+    """kind, n: how many words had each outcome, most frequent first."""
+    return corrected.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "kind")
+
+
+def replace_tokens(lines: DataFrame, key: list[str], text: str, table: DataFrame, pattern: str, out: str = "corrected", on: list[str] | None = None) -> DataFrame:
+    """Lines with each token replaced as table (word, correction) says; what stands between tokens stays. on: columns of the key
+    that the table has too, where a correction holds for some lines only.
 
     Tokens are met with the table by a join on the word; the line is put together again by place.
     """
     parts = F.arrays_zip(F.split(F.col(text), pattern, -1).alias("gap"), F.regexp_extract_all(F.col(text), F.lit(f"({pattern})"), F.lit(1)).alias("word"))
     exploded = lines.select(*key, F.posexplode(parts).alias("place", "part")).select(*key, "place", F.col("part.gap").alias("gap"), F.col("part.word").alias("word"))
-    joined = exploded.join(table.select("word", "correction"), "word", "left")
+    joined = exploded.join(table.select(*(on or []), "word", "correction"), [*(on or []), "word"], "left")
     piece = F.concat("gap", F.coalesce("correction", "word", F.lit("")))
     line = joined.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", piece.alias("t")))), lambda s: s["t"]), "").alias(out))
     return lines.join(line, key, "left")

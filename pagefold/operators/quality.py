@@ -25,11 +25,10 @@ def is_noise(c: Column, letters: str = cs.ARABIC_LETTERS, marks: str = cs.DIACRI
     """
     word = rf"[\p{{L}}\p{{N}}_\p{{M}}&&[^{marks}]]"
     n = F.regexp_count(c, F.lit(f"[{letters}]"))
-    # short: words whose first two word characters are all that they have
     values = {"n": n, "all": F.regexp_count(c, F.lit(word)), "words": F.regexp_count(c, F.lit(r"(?U)\S+"))}
 
     def judge(v: Column) -> Column:
-        choppy = (v["words"] >= 4) & (short_words(c, word) / v["words"] > 0.75)
+        choppy = (v["words"] >= 4) & (short_words(c, marks) / v["words"] > 0.75)
         few = (v["n"] / F.greatest(v["all"], F.lit(1)) < 0.5) & (v["n"] < 6)
         digits = (v["all"] > 0) & (F.regexp_count(c, F.lit(r"\p{Nd}")) == v["all"])
         return F.when(v["words"] == 0, True).when(v["n"] == 0, ~digits).otherwise(few | choppy)
@@ -37,10 +36,9 @@ def is_noise(c: Column, letters: str = cs.ARABIC_LETTERS, marks: str = cs.DIACRI
     return bound(values, judge)
 
 
-def short_words(c: Column, word: str) -> Column:
-    """Number of the words of at most two word characters."""
-    other = rf"(?:(?!{word})\S)*+"
-    return F.regexp_count(c, F.lit(rf"(?U)(?<!\S){other}(?:{word}{other}){{0,2}}(?!\S)"))
+def short_words(c: Column, marks: str) -> Column:
+    """Number of the words of at most two characters other than marks; punctuation counts."""
+    return F.regexp_count(c, F.lit(rf"(?U)(?<!\S)(?=\S)[{marks}]*+(?:[^\s{marks}][{marks}]*+){{0,2}}+(?!\S)"))
 
 
 def is_marker_line(c: Column, longest: int = 10, chars: str = cs.MARKER_LINE) -> Column:
@@ -71,6 +69,21 @@ def confident_text(df: DataFrame, by: list[str], word: str, conf: str, marks: st
     return df.join(best, [*by, word]).withColumn(out, F.when(F.col("best_conf") < least, F.regexp_replace(word, f"[{marks}]", "")).otherwise(F.col(word)))
 
 
+def clean_lines(lines: DataFrame, words: DataFrame, by: list[str], text: str = "text", conf: str = "conf", token: str = cs.ARABIC_TOKEN, marks: str = cs.DIACRITICS_BOOK, least: float = 62.0, out: str = "clean") -> DataFrame:
+    """Lines of low confidence without the marks of their doubtful words; lines of `least` and more stay as they are.
+
+    words: by, text, conf as they were read. A word is doubtful if its best reading in the line is below `least`; words that were
+    not read so stay. All else in the line stays in its place.
+    """
+    from pagefold.operators.lexicon import replace_tokens
+
+    best = words.groupBy(*by, F.col("text").alias("word")).agg(F.max("conf").alias("best")).filter(F.col("best") < least)
+    table = best.select(*by, "word", F.regexp_replace("word", f"[{marks}]", "").alias("correction"))
+    low = lines.filter(F.col(conf) < least)
+    fixed = replace_tokens(low, by, text, table, token, out, on=by)
+    return fixed.unionByName(lines.filter(~(F.col(conf) < least) | F.col(conf).isNull()).withColumn(out, F.col(text)))
+
+
 def flip_decision(direct: Column, flipped: Column) -> Column:
     """Aggregate: whether the flipped distances have the lower median; true without evidence."""
     return F.coalesce(F.median(flipped) < F.median(direct), F.lit(True))
@@ -82,6 +95,14 @@ def pixel_metrics(difference: Column, threshold: int = 40) -> list[Column]:
     return [F.avg(d).alias("mean_diff"), F.sqrt(F.avg(d * d)).alias("rms_diff"), F.avg(F.when(d > threshold, 1.0).otherwise(0.0)).alias("share_over")]
 
 
+def rgb_metrics(a: list[Column], b: list[Column], threshold: int = 40) -> list[Column]:
+    """Aggregates over pixels of three channels: mean and root mean square of all channels' differences, and the share of pixels of
+    which a channel differs by more than the threshold."""
+    d = [F.abs(x - y) for x, y in zip(a, b)]
+    mean = lambda c: F.avg(sum(c[1:], c[0]) / len(c))
+    return [mean(d).alias("mean_diff"), F.sqrt(mean([x * x for x in d])).alias("rms_diff"), F.avg(F.when(F.greatest(*d) > threshold, 1.0).otherwise(0.0)).alias("share_over")]
+
+
 def otsu_threshold(histogram: DataFrame, level: str, count: str) -> DataFrame:
     """One row: the level that parts a histogram into two classes of the largest variance between them (first of ties).
 

@@ -26,7 +26,7 @@ def lines_of(letters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Letters with their line_no (from the top), and the lines with the upper median of their letters' heights."""
     of = bands.anchored_bands(letters, ["page"], "y", LINE_Y).distinct()
     placed = letters.join(of, ["page", "y"])
-    heights = placed.groupBy("page", "leader").agg(bands.upper_median(F.col("y")).alias("line_y"))
+    heights = placed.groupBy("page", "leader").agg(bands.upper_median("y").alias("line_y"))
     numbered = heights.withColumn("line_no", F.row_number().over(Window.partitionBy("page").orderBy(F.col("line_y").desc(), "leader")))
     return placed.join(numbered, ["page", "leader"]).drop("leader"), numbered.drop("leader")
 
@@ -82,5 +82,5 @@ def layout_lines(glyphs: DataFrame) -> DataFrame:
     c = letters.select(F.struct("page", "line_no").alias("line"), F.col("glyph_seq").cast("bigint").alias("glyph_seq"), "chars", F.col("x").alias("x0"), (F.col("x") + F.col("width")).alias("x1"), "y")
     segments = bands.layout_segments(c, ["line"], "x0", "x1", "y", "glyph_seq")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("x0")).alias("o"), "glyph_seq", "chars"))), lambda s: s["chars"]), "")
-    out = c.join(segments, ["line", "glyph_seq"]).groupBy("line", "segment").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), bands.upper_median(F.col("y")).alias("y"), text.alias("text"))
+    out = c.join(segments, ["line", "glyph_seq"]).groupBy("line", "segment").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), bands.upper_median("y").alias("y"), text.alias("text"))
     return out.select("line.*", "segment", F.bround("x0", 2).alias("x0"), F.bround("x1", 2).alias("x1"), F.bround("y", 2).alias("y"), "text")

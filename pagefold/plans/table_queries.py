@@ -83,7 +83,7 @@ select user_id, cast(segment as bigint) as segment, count(*) as n, round(max(b)
 
 def anchored_bands(spark: SparkSession, d: str) -> DataFrame:
     b = bands.anchored_bands(read(spark, d, "events"), ["user_id"], "value", 3.5)
-    return b.groupBy("user_id", "leader").agg(F.count(F.lit(1)).alias("n"), bands.upper_median(F.col("value")).alias("mid"))
+    return b.groupBy("user_id", "leader").agg(F.count(F.lit(1)).alias("n"), bands.upper_median("value").alias("mid"))
 
 
 ANCHORED_BANDS = """with recursive v as (select user_id, value, row_number() over (partition by user_id order by value) as n from events where value is not null),
@@ -192,7 +192,7 @@ select coalesce(u.conv_id, a.conv_id) as conv_id, cast(coalesce(u.k, a.k) as int
 
 
 def upper_median(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "part").groupBy("p_brand").agg(bands.upper_median(F.col("p_retailprice")).alias("mid"), F.median("p_retailprice").alias("median"))
+    return read(spark, d, "part").groupBy("p_brand").agg(bands.upper_median("p_retailprice").alias("mid"), F.median("p_retailprice").alias("median"))
 
 
 UPPER_MEDIAN = "select p_brand, list_sort(list(p_retailprice))[len(list(p_retailprice)) // 2 + 1] as mid, median(p_retailprice) as median from part group by p_brand"
@@ -302,7 +302,7 @@ def composite_expand(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "part").select(F.col("p_partkey").alias("gid"))
     base = p.filter("gid <= 40").select("gid", F.concat(F.lit("["), F.col("gid").cast("string"), F.lit("]")).alias("chars"))
     parts = p.filter("gid > 40").select("gid", F.posexplode(F.array(F.floor(F.col("gid") / 2), F.floor(F.col("gid") / 3))).alias("ord", "component"))
-    return resolve.composites(parts, base, deepest=5).select("gid", F.length("chars").alias("n_chars"), F.md5(F.col("chars").cast("binary")).alias("chars_md5"))
+    return resolve.composites(parts, base).select("gid", F.length("chars").alias("n_chars"), F.md5(F.col("chars").cast("binary")).alias("chars_md5"))
 
 
 def _levels(n: int) -> str:
@@ -312,7 +312,7 @@ def _levels(n: int) -> str:
     return out
 
 
-COMPOSITE_EXPAND = f"with {_levels(5)} select gid, cast(len(chars) as integer) as n_chars, md5(chars) as chars_md5 from l5 where gid > 40"
+COMPOSITE_EXPAND = f"with {_levels(6)} select gid, cast(len(chars) as integer) as n_chars, md5(chars) as chars_md5 from l6 where gid > 40"
 
 
 def fixpoint_closure(spark: SparkSession, d: str) -> DataFrame:

@@ -33,7 +33,7 @@ _NOISE = f"""(select doc_id, line_no, line, bare, t,
   len(regexp_replace(bare, '[^{LATIN}]', '', 'g')) as n, list_filter(string_split_regex(t, '{SPACE}+'), lambda w: len(w) > 0) as words
   from (select *, {_BARE} as bare, regexp_replace(regexp_replace(line, '^{SPACE}+', ''), '{SPACE}+$', '') as t from {DUCK_LINES}))"""
 _IS_NOISE = rf"""case when t = '' then true when n = 0 then not regexp_full_match(bare, '\p{{Nd}}+')
-  else (n / greatest(len(bare), 1) < 0.5 and n < 6) or (len(words) >= 4 and len(list_filter(words, lambda w: len(regexp_replace(w, '[{cs.DIACRITICS_BOOK}]|[^\p{{L}}\p{{N}}\p{{M}}_]', '', 'g')) <= 2)) / len(words) > 0.75) end"""
+  else (n / greatest(len(bare), 1) < 0.5 and n < 6) or (len(words) >= 4 and len(list_filter(words, lambda w: len(regexp_replace(w, '[{cs.DIACRITICS_BOOK}]', '', 'g')) <= 2)) / len(words) > 0.75) end"""
 WEIGHTED_LINES = f"""select x.doc_id, line_no, cast(len(words) as integer) as n_words, coalesce(quality * 60.0 + 35.0, 50.0) as conf, cast(len(line) as integer) as n_chars
 from {_NOISE} x left join labels l on x.doc_id = l.doc_id where not ({_IS_NOISE})"""
 

@@ -45,18 +45,34 @@ def page_records(spark: SparkSession, path: str, limit: int | None = None) -> Da
 
 
 def page_range(spec: Column, total: Column) -> Column:
-    """Places from 0 of a range of pages like '1-5,7', in its order; those beyond total are left out, repeats stay."""
-    part = lambda p: F.sequence(F.split_part(p, F.lit("-"), F.lit(1)).cast("int"), F.when(F.contains(p, F.lit("-")), F.split_part(p, F.lit("-"), F.lit(2))).otherwise(p).cast("int"))
-    every = F.flatten(F.transform(F.split(F.regexp_replace(spec, r"\s", ""), ","), part))
-    return F.filter(F.transform(every, lambda p: p - 1), lambda p: (p >= 0) & (p < total))
+    """Places from 0 of a range of pages like '1-5,7', in its order; those beyond total are left out, repeats stay.
+
+    A range that runs down ('5-3') has no pages; an empty or null one stands for all pages.
+    """
+
+    def part(p: Column) -> Column:
+        first, last = F.split_part(p, F.lit("-"), F.lit(1)).cast("int"), F.when(F.contains(p, F.lit("-")), F.split_part(p, F.lit("-"), F.lit(2))).otherwise(p).cast("int")
+        return F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
+
+    plain = F.nullif(F.regexp_replace(spec, r"\s", ""), F.lit(""))
+    every = F.flatten(F.transform(F.split(plain, ","), part))
+    chosen = F.filter(F.transform(every, lambda p: p - 1), lambda p: (p >= 0) & (p < total))
+    return F.when(plain.isNotNull(), chosen).when(total > 0, F.sequence(F.lit(0), total.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def page_subset(df: DataFrame, pages: list[int] | None, page: str = "page") -> DataFrame:
+    """Rows of the pages listed; all where none are."""
+    return df if not pages else df.filter(F.col(page).isin(pages))
 
 
 PAGE_MARK = r"^===== PAGE (\d+) =====$"
 
 
-def page_lines(lines: DataFrame, order: str, text: str, by: tuple[str, ...] = (), mark: str = PAGE_MARK) -> DataFrame:
+def page_lines(lines: DataFrame, order: str, text: str, by: tuple[str, ...], mark: str = PAGE_MARK) -> DataFrame:
     """by, page, line_no, text of page-marked text: what comes before the first mark and blank lines are left out; of a
-    page that is marked twice the later lines count."""
+    page that is marked twice the later lines count. by: the columns that tell files apart, as a file is read by one task."""
+    if not by:
+        raise ValueError("page_lines needs the columns that tell files apart")
     number = F.nullif(F.regexp_extract(tx.strip(F.col(text)), mark, 1), F.lit("")).cast("int")
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.withColumn("__mark", number)

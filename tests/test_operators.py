@@ -99,12 +99,139 @@ def test_corpus(spark):
     spans = corpus.find_spans(lines, ["page", "line_no"], "t", verses, anchors, ["part", "verse"], "text")
     assert rows(spans, "line_no", "verse", "first", "last")[0][:2] == (1, 2) and spans.count() == 1
     fixed, log = corpus.repair_spans(lines, ["page", "line_no"], "t", spans, ["part", "verse"], verses, "text")
-    assert "﴾and the light shines in darkness﴿" in rows(fixed, "repaired")[0][0] and log.count() == 1
+    assert rows(fixed, "repaired") == [("he said ﴿and the light shines in darkness﴾ darknes there",), ("nothing here at all",)] and log.count() == 1
     names = spark.createDataFrame([(1, "the cow"), (2, "the cowherd")], "id int, name string")
     asked = spark.createDataFrame([("the cow",), ("cowherd",), ("none",)], "name string")
     assert rows(corpus.resolve_name(asked, names, "id", "id")) == [("cowherd", 2), ("none", None), ("the cow", 1)]
 
 
+VERSES = [(1, 1, "alphaone betatwo gammathree deltafour epsilonfive"), (1, 2, "zetasix etaseven thetaeight iotanine kappaten")]
+
+
+def bare(c):
+    return F.regexp_replace(F.lower(c), "[^a-z]", "")
+
+
+def test_repair_keeps_what_is_not_quoted(spark):
+    verses = spark.createDataFrame(VERSES, "part int, verse int, text string")
+    lines = [
+        (1, 1, "He Said,  (loudly): alphaone betatwo gamathree deltafour epsilonfive - END!"), (1, 2, "Nothing at all."), (1, 3, "so: Zetasix, etaseven"), (1, 4, "thetaeight iotanine kappaten; Done."),
+        (2, 1, "etaseven thetaeight"), (2, 2, "of no verse"), (2, 3, "  "),
+    ]
+    df = spark.createDataFrame(lines, "page int, line_no int, text string")
+    out, log = corpus.repair_quotations(df, "page", "line_no", "text", bare, verses, ["part", "verse"], "text")
+    got = {(r["page"], r["line_no"]): r["repaired"] for r in out.collect()}
+    assert got == {
+        (1, 1): f"He Said,  (loudly): ﴿{VERSES[0][2]}﴾ - END!", (1, 2): "Nothing at all.", (1, 3): f"so: ﴿{VERSES[1][2]}﴾ Done.", (2, 1): "etaseven thetaeight", (2, 2): "of no verse", (2, 3): "  ",
+    }
+    assert rows(log, "page", "line_no", "kind", "before") == [(1, 1, "verse", "alphaone betatwo gamathree deltafour epsilonfive"), (1, 3, "verse over two lines", "Zetasix, etaseven thetaeight iotanine kappaten;")]
+    alone, _ = corpus.repair_quotations(df, "page", "line_no", "text", bare, verses, ["part", "verse"], "text", join_next=False)
+    assert alone.count() == len(lines)
+
+
+def test_correct(spark):
+    verses = spark.createDataFrame(VERSES, "part int, verse int, text string")
+    words = spark.createDataFrame([("melon", 9), ("grape", 7), ("nothing", 5), ("said", 5)], "word string, freq bigint")
+    lines = spark.createDataFrame([(1, 1, "He said, (Loudly): alphaone betatwo gammathree deltafour epsilonfive - END!", 80.0), (1, 2, "a melom, Nothing!", 50.0), (1, 3, "***", 90.0), (1, 4, "(12)", 90.0)], "page int, line_no int, text string, conf double")
+    how = {"token": "[A-Za-z]+", "letters": "A-Za-z", "plain": bare, "skeleton": F.lower}
+    out, log = pipelines.correct(lines, verses, words, **how)
+    assert rows(out, "line_no", "text") == [(1, f"He said, (Loudly): ﴿{VERSES[0][2]}﴾ - END!"), (2, "a melon, Nothing!")]
+    assert rows(log, "line_no", "kind", "before", "after") == [(1, "verse", VERSES[0][2], VERSES[0][2]), (2, "word", "melom", "melon")]
+    plain, none = pipelines.correct(lines, None, None, **how)
+    assert rows(plain, "line_no", "text")[1] == (2, "a melom, Nothing!") and none.count() == 0
+
+
+def test_noise_counts_punctuation_in_words(spark):
+    df = spark.createDataFrame([("ab, cd, ef, gh,",), ("ab cd ef gh",), ("a! bc de fgh ij",)], "line string")
+    assert [r[0] for r in df.select(quality.is_noise(F.col("line"), "a-z", "~")).collect()] == [False, True, True]
+
+
+def test_clean_lines(spark):
+    lines = spark.createDataFrame([(1, "ka~t, do~g ka~t", 50.0), (2, "ka~t", 70.0), (3, "ma~t", 10.0)], "no int, text string, conf double")
+    words = spark.createDataFrame([(1, "ka~t", 40.0), (1, "ka~t", 61.0), (1, "do~g", 80.0), (2, "ka~t", 1.0)], "no int, text string, conf double")
+    assert rows(quality.clean_lines(lines, words, ["no"], token="[a-z~]+", marks="~"), "no", "clean") == [(1, "kat, do~g kat"), (2, "ka~t"), (3, "ma~t")]
+
+
+def test_rgb_metrics(spark):
+    df = spark.createDataFrame([(0, 0, 0, 0, 0, 50), (10, 10, 10, 10, 10, 10)], "a int, b int, c int, d int, e int, f int")
+    mean, rms, share = df.agg(*quality.rgb_metrics([F.col(x) for x in "abc"], [F.col(x) for x in "def"])).first()
+    assert abs(mean - 50 / 6) < 1e-9 and abs(rms - (2500 / 6) ** 0.5) < 1e-9 and share == 0.5
+
+
+def test_blank_segments_keep_their_text():
+    assert align.spread_line([["abc"], ["def"]], "abc") == [["abc"], ["def"]]
+    assert align.spread_line([["a", "b"], [" ", "c"]], "axc") == [["a", "x"], ["", "c"]]
+    assert align.spread_line([], "x") == []
+
+
+def test_line_text(spark):
+    df = spark.createDataFrame([([("ab", False), ("c", True), (" ", True), ("d", True)],)], "s array<struct<text:string,sp:boolean>>")
+    assert df.select(align.segment_text(F.col("s"))).first()[0] == "ab c  d"
+    lines = spark.createDataFrame([(["one", " ", "two", "."],)], "s array<string>")
+    assert lines.select(align.line_text(F.col("s"))).first()[0] == "one two."
+
+
+def test_map_layout(spark):
+    layout = [(1, 1, 100.0, [["first ", "line"], ["tail"]]), (1, 2, 110.0, [["(1)"]]), (1, 3, 200.0, [["second line of text"]]), (1, 4, 300.0, [["nobody has this one"]])]
+    final = [(1, 1, "first lime (1)"), (1, 2, "second line of test"), (1, 3, "quite different words entirely")]
+    out = pipelines.map_layout(spark.createDataFrame(layout, "page int, no bigint, y double, segments array<array<string>>"), spark.createDataFrame(final, "page int, no bigint, text string"))
+    mapped = {r["no"]: ["".join(s) for s in r["mapped"]] for r in out["lines"].collect()}
+    assert set(mapped) == {1, 3, 4} and mapped[1][0].startswith("first lime") and mapped[1][2] == "(1)" and mapped[3] == ["second line of test"]
+    kinds = {r["kind"] for r in out["report"].collect()}
+    assert rows(out["coverage"], "n_final")[0] == (3,) and kinds & {"weak match", "kept as it was", "not mapped"}
+
+
+def test_winner_that_holds_the_query(spark):
+    pairs = spark.createDataFrame([(1, 1, 0.9, False), (1, 2, 0.88, True), (2, 1, 0.9, True), (2, 3, 0.89, True)], "q int, v int, s double, h boolean")
+    assert rows(corpus.clear_winner(corpus.rank(pairs, ["q"], "s", ["v"]), ["q"], holds=F.col("h")), "q", "v") == [(1, 2)]
+    verses = spark.createDataFrame([(1, "n", v, f"t{v}") for v in range(1, 5)] + [(2, "m", 1, "x")], "part int, name string, verse int, text string")
+    assert rows(corpus.verse_range(verses, 1, 2, 9), "verse") == [(2,), (3,), (4,)] and rows(corpus.verse_range(verses, 1, 3), "text") == [("t3",)]
+    assert rows(corpus.part_names(verses)) == [(1, "n"), (2, "m")]
+
+
+def test_report_order(spark):
+    a = spark.createDataFrame([(2, 1, "x1"), (1, 1, "a"), (1, 2, "b")], "p int, no int, text string")
+    b = spark.createDataFrame([(2, 1, "x2"), (1, 1, "ab"), (1, 2, "b.")], "p int, no int, text string")
+    out = pipelines.report(a, b, ["p"], letters="a-z")
+    assert [r["p"] for r in out["changes"].collect()] == [1, 1, 2]
+    assert [tuple(r) for r in out["kinds"].collect()][0][1:] == (1, 1)
+
+
+def test_unknown_glyphs_and_decode(spark):
+    g = [(1, k, 7, cid, 100.0 - 6 * k, 700.0, False, 5.0) for k, cid in enumerate([1, 2, 9, 9, 8])]
+    glyphs = spark.createDataFrame(g, "page int, glyph_seq int, xref int, cid int, x double, y double, is_mark boolean, width double")
+    known = lambda *r: spark.createDataFrame(list(r), "xref int, cid int, chars string")
+    assert rows(pipelines.unknown_glyphs(glyphs, known((7, 1, "a"), (7, 2, "b")))) == [(7, 8, 1), (7, 9, 2)]
+    out = pipelines.decode(glyphs, [("map", known((7, 1, "ا"), (7, 2, "ب"))), ("names", known((7, 9, "ت"), (7, 1, "x")))])
+    assert rows(out, "page", "text") == [(1, "ابتت�")]
+
+
+def test_printed_numbers_first_font_and_family(spark):
+    lines = spark.createDataFrame([(1, 1, "12"), (1, 2, " ٣٤ "), (1, 3, "x"), (2, 1, "none")], "page int, no int, text string")
+    assert rows(quality.printed_numbers(lines, "page", "no", "text")) == [(1, 34), (2, None)]
+    fonts = spark.createDataFrame([("F1", 9, "b", 2), ("F1", 4, "a", 1), ("F2", 5, "c", 3)], "ref string, xref int, name string, page int")
+    assert rows(resolve.first_font(fonts)) == [("F1", 4, "a"), ("F2", 5, "c")]
+    names = spark.createDataFrame([("ABC+Traditional-Bold",), ("Other",)], "name string")
+    assert [r[0] for r in names.select(resolve.family(F.col("name"), [("traditional", "T")], F.lit("D"))).collect()] == ["T", "D"]
+    wanted = spark.createDataFrame([(1,), (2,), (3,)], "gid int")
+    assert rows(resolve.source_counts(wanted, spark.createDataFrame([(1, "cmap"), (2, "cmap")], "gid int, source string"), ["gid"])) == [("cmap", 2), ("unresolved", 1)]
+
+
+def test_folds_carry_their_state_over_batches(spark):
+    """Long groups against the rule: their rows come in many Arrow batches."""
+    rnd = random.Random(1)
+    cells = [(g, i, rnd.randrange(4000) / 4) for i in range(3000) for g in (1, 2)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    got = rows(bands.anchored_bands(spark.createDataFrame(cells, "g int, i int, v double"), ["g"], "v", 3.0))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want, leader = [], {}
+    for g, v in sorted((g, v) for g, _, v in cells):
+        leader[g] = v if g not in leader or v - leader[g] > 3 else leader[g]
+        want.append((g, v, leader[g]))
+    assert got == sorted(want, key=repr)
+
+
 def test_ranking_margin(spark):
     pairs = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.88), (2, 1, 0.9), (2, 3, 0.5), (3, 1, 0.7)], "q int, v int, s double")
     won = corpus.clear_winner(corpus.rank(pairs, ["q"], "s", ["v"]), ["q"])
@@ -176,10 +303,13 @@ def test_readers(spark):
     out = readers.ocr_lines(words).collect()
     assert len(out) == 1 and out[0]["bbox"] == [10, 18, 60, 27] and [w["text"] for w in out[0]["words"]] == ["ab", "cd"]
     text = ["lost", "===== PAGE 1 =====", "old", "===== PAGE 2 =====", "", "two  ", "===== PAGE 1 =====", "new"]
-    pages = readers.page_lines(spark.createDataFrame([(i, x) for i, x in enumerate(text)], "no int, line string"), "no", "line")
-    assert rows(pages) == [(1, 1, "new"), (2, 1, "two")]
+    pages = readers.page_lines(spark.createDataFrame([("f", i, x) for i, x in enumerate(text)], "file string, no int, line string"), "no", "line", ("file",))
+    assert rows(pages, "page", "line_no", "text") == [(1, 1, "new"), (2, 1, "two")]
     spec = spark.createDataFrame([("1-3,7, 2,99",)], "s string")
     assert spec.select(readers.page_range(F.col("s"), F.lit(10))).first()[0] == [0, 1, 2, 6, 1]
+    odd = spark.createDataFrame([("5-3", 10), ("", 3), (None, 2), ("2-2,5-3,1", 9), ("", 0)], "s string, n int")
+    assert [r[0] for r in odd.select(readers.page_range(F.col("s"), F.col("n"))).collect()] == [[], [0, 1, 2], [0, 1], [1, 0], []]
+    assert rows(readers.page_subset(odd, [9], "n"), "s") == [("2-2,5-3,1",)] and readers.page_subset(odd, None).count() == 5
     freq = spark.createDataFrame([("ab cd 25",), ("word 30",), ("word 5",), ("bad",), ("x 99",)], "line string")
     assert rows(readers.frequency_list(freq, "line", key=lambda c: F.replace(c, F.lit(" "), F.lit("")))) == [("abcd", 25), ("word", 30)]
     nested = spark.createDataFrame([('[{"id":1,"name":"n","verses":[{"id":1,"text":"a"},{"id":2,"text":"b"}]}]',)], "j string")
