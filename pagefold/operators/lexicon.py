@@ -1,14 +1,18 @@
 """Lexicons, candidate words by shared n-grams, and correction with rejected ties.
 
-Candidates come from an equality join on n-grams, so that edit distance is measured only for words that share some. Words
+Candidates come from an index of n-grams, so that edit distance is measured only for words that share enough of them. Words
 are deduplicated before they are corrected and joined back after.
 """
 
 from __future__ import annotations
 
 import difflib
+from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,16 +47,112 @@ def gram_index(lexicon: DataFrame, word: str = "word", both: bool = False) -> Da
     return lexicon.select(word, F.explode(grams(F.col(word), both=both)).alias("gram"))
 
 
-def candidates(words: DataFrame, lexicon: DataFrame, pool: int | None = 400, both: bool = False) -> DataFrame:
-    """word, candidate, shared: the `pool` lexicon words that share most n-grams with each word (ties by candidate); without
-    a pool, all that share one."""
-    asked = words.select("word").distinct()
-    pairs = gram_index(asked, both=both).join(gram_index(lexicon.select(F.col("word").alias("candidate")), "candidate", both), "gram")
-    counted = pairs.groupBy("word", "candidate").agg(F.count(F.lit(1)).alias("shared"))
-    if pool is None:
-        return counted
-    w = Window.partitionBy("word").orderBy(F.col("shared").desc(), "candidate")
-    return counted.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= pool).drop("__n")
+#: Words of a lexicon that one index holds; larger ones are cut into blocks that meet blocks of the asked words.
+INDEX_WORDS, ASKED_BLOCK = 100_000, 20_000
+
+
+def gram_set(word: str, short: int = 4, both: bool = False) -> set[str]:
+    """The n-grams of a word, as `grams` has them."""
+    of = lambda n: [word] if len(word) <= n else [word[i : i + n] for i in range(len(word) - n + 1)]
+    own = of(3) if len(word) >= short else of(2)
+    return set(own + of(2)) if both else set(own)
+
+
+class GramIndex:
+    """Lexicon words by their n-grams. Words are numbered in their order, so the lesser number wins ties."""
+
+    def __init__(self, words: list[str], both: bool):
+        self.words, self.both = sorted(words), both
+        lists: dict[str, list[int]] = {}
+        self.n_grams, self.lengths = np.zeros(len(words), np.int64), np.array([len(w) for w in self.words], np.int64)
+        for i, w in enumerate(self.words):
+            own = gram_set(w, both=both)
+            self.n_grams[i] = len(own)
+            for g in own:
+                lists.setdefault(g, []).append(i)
+        self.lists = {g: np.array(x, np.int32) for g, x in lists.items()}
+
+    def best(self, word: str, pool: int | None, within: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and shared n-grams of the `pool` words that share most, best first; with `within` those of them that
+        may be at that edit distance: an edit changes three n-grams of a kind at most."""
+        own = gram_set(word, both=self.both)
+        lists = [x for g in own if (x := self.lists.get(g)) is not None]
+        if not lists:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        shared = np.bincount(np.concatenate(lists), minlength=len(self.words))
+        at = np.flatnonzero(shared)
+        rank = shared[at] * len(self.words) - at
+        if pool is not None and len(at) > pool:
+            some = np.argpartition(-rank, pool - 1)[:pool]
+            at, rank = at[some], rank[some]
+        if within is not None:
+            lost = within * (5 if self.both else 3)
+            near = (np.abs(self.lengths[at] - len(word)) <= within) & (shared[at] >= np.maximum(self.n_grams[at], len(own)) - lost)
+            at, rank = at[near], rank[near]
+        at = at[np.argsort(-rank)]
+        return at, shared[at]
+
+
+@lru_cache(4)
+def _index(words: tuple[str, ...], both: bool) -> GramIndex:
+    return GramIndex(list(words), both)
+
+
+def pools(words: DataFrame, lexicon: DataFrame, pool: int | None = 400, both: bool = False, within: int | None = None) -> DataFrame:
+    """word, pool: for each asked word the `pool` lexicon words that share most n-grams (all without a pool), best first, ties by
+    word, as an array of (candidate, shared). within: only those of them that may be at that edit distance.
+
+    A lexicon of bounded size goes to all workers as one index, after a count. Larger ones are cut into blocks, each
+    of which meets each block of asked words; the best of all blocks are the pool.
+    """
+    spark = words.sparkSession
+    asked, listed = words.select("word").distinct(), lexicon.select("word").distinct()
+    item = "array<struct<candidate:string,shared:bigint>>"
+
+    def found(index: GramIndex, some: list[str], near: int | None) -> pa.RecordBatch:
+        rows = [(w, at, n) for w in some for at, n in [index.best(w, pool, near)] if len(at)]
+        ends = np.cumsum([0, *[len(at) for _, at, _ in rows]])
+        names = pa.array(index.words, pa.string()).take(pa.array(np.concatenate([at for _, at, _ in rows]) if rows else [], pa.int64()))
+        pairs = pa.StructArray.from_arrays([names, pa.array(np.concatenate([n for _, _, n in rows]) if rows else [], pa.int64())], ["candidate", "shared"])
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _, _ in rows], pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)], ["word", "pool"])
+
+    n = listed.count()
+    if n <= INDEX_WORDS:
+        sent = spark.sparkContext.broadcast(tuple(r["word"] for r in listed.collect()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _index(sent.value, both)
+            for batch in batches:
+                some = batch.column(0).to_pylist()
+                for start in range(0, len(some), 1000):
+                    yield found(index, some[start : start + 1000], within)
+
+        return asked.mapInArrow(run, f"word string, pool {item}")
+    blocks, asked_blocks = -(-n // INDEX_WORDS), max(1, -(-asked.count() // ASKED_BLOCK))
+    deal = lambda c, k, name: F.pmod(F.xxhash64(c), F.lit(k)).cast("int").alias(name)
+    each = lambda k, name: F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(name)
+    left = asked.select("word", deal("word", asked_blocks, "a"), each(blocks, "b"))
+    right = listed.select("word", each(asked_blocks, "a"), deal("word", blocks, "b"))
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        # what is far may hold a place in the pool, so it is told apart only after the blocks are put together
+        index = GramIndex(y.column("word").to_pylist(), both)
+        return pa.Table.from_batches([found(index, x.column("word").to_pylist(), within if pool is None else None)])
+
+    parts = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(meet, f"word string, pool {item}")
+    least = lambda x: F.transform(F.array_sort(F.transform(x, lambda p: F.struct((-p["shared"]).alias("s"), p["candidate"].alias("c")))), lambda p: F.struct(p["c"].alias("candidate"), (-p["s"]).alias("shared")))
+    every = least(F.flatten(F.collect_list("pool")))
+    out = parts.groupBy("word").agg((every if pool is None else F.slice(every, 1, pool)).alias("pool"))
+    if within is not None and pool is not None:
+        size = lambda c: F.size(grams(c, both=both))
+        near = lambda p: (F.abs(F.length(p["candidate"]) - F.length("word")) <= within) & (p["shared"] >= F.greatest(size(p["candidate"]), size(F.col("word"))) - within * (5 if both else 3))
+        out = out.withColumn("pool", F.filter("pool", near)).filter(F.size("pool") > 0)
+    return out
+
+
+def candidates(words: DataFrame, lexicon: DataFrame, pool: int | None = 400, both: bool = False, within: int | None = None) -> DataFrame:
+    """word, candidate, shared: the rows of `pools`."""
+    return pools(words, lexicon, pool, both, within).select("word", F.explode("pool").alias("p")).select("word", "p.candidate", "p.shared")
 
 
 def within_distance(a: Column, b: Column, most: Column | int) -> Column:
@@ -67,7 +167,7 @@ def suggestions(words: DataFrame, lexicon: DataFrame, pool: int = 400, top: int
     """word, candidate, distance, freq, place: lexicon words at distance 1 (2 from six letters on), nearest and most
     frequent first, `top` of each word."""
     limit = F.when(F.length("word") <= 5, 1).otherwise(2)
-    found = candidates(words, lexicon, pool, both).withColumn("distance", F.levenshtein("word", "candidate", 2))
+    found = candidates(words, lexicon, pool, both, 2).withColumn("distance", F.levenshtein("word", "candidate", 2))
     found = found.filter((F.col("distance") >= 1) & (F.col("distance") <= limit)).join(lexicon.select(F.col("word").alias("candidate"), "freq"), "candidate")
     w = Window.partitionBy("word").orderBy("distance", F.col("freq").desc(), "candidate")
     return found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= top).select("word", "candidate", "distance", "freq", "place")

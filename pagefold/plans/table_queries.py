@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from pagefold.functions import geometry as geo
 from pagefold.functions import text as tx
 from pagefold.operators import align, bands, quality, resolve, spatial
+from pagefold.plans import pipelines
 from pagefold.plans.base import read
 from pagefold.sources import codecs, readers
 from pagefold.streaming import incremental
@@ -240,8 +241,10 @@ DQ_ASSERT = " union all ".join(f"select '{n}' as rule, cast(count(*) filter (({c
 
 
 def top_unknown(spark: SparkSession, d: str) -> DataFrame:
-    """The sixty users with most events of no known type: a report of the top."""
-    return read(spark, d, "events").filter("event_type <> 'click'").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "user_id", "event_type").limit(60)
+    """The keys that most often have no text: those of all kinds but one."""
+    e = read(spark, d, "events").select(F.col("user_id").alias("xref"), F.col("event_type").alias("cid"))
+    found = pipelines.unknown_glyphs(e, e.filter("cid = 'click'").distinct())
+    return found.select(F.col("xref").alias("user_id"), F.col("cid").alias("event_type"), "n")
 
 
 TOP_UNKNOWN = "select user_id, event_type, count(*) as n from events where event_type <> 'click' group by user_id, event_type order by n desc, user_id, event_type limit 60"
@@ -423,6 +426,57 @@ select marker, host, round(distance, 4) as distance from (select a.no as marker,
   from p a join p b on a.p_brand = b.p_brand and a.m and not b.m and a.y <= 735 and abs(a.y - b.y) <= 40) where n = 1"""
 
 
+_LETTERS = "ابتثجحخدذرزسشصضطظعغفقلم"
+
+
+def decode_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of glyphs, resolved by two sources and put into reading order; each event is a glyph on its user's page."""
+    e = read(spark, d, "events").select(F.col("user_id").alias("page"), F.col("event_id").alias("glyph_seq"), F.lit(1).alias("xref"), (F.col("event_id") % 29).cast("int").alias("cid"))
+    place = {"x": (F.col("glyph_seq") * 37 % 5000) / 10.0, "y": F.lit(900.0) - F.col("glyph_seq") % 40 * 20, "is_mark": F.lit(False), "width": F.lit(5.0)}
+    cids = spark.range(29).select(F.lit(1).alias("xref"), F.col("id").cast("int").alias("cid"))
+    letter = F.call_function("substr", F.lit(_LETTERS), F.col("cid") % len(_LETTERS) + 1, F.lit(1))
+    sources = [("map", cids.filter("cid % 3 <> 0 and cid < 25").withColumn("chars", letter)), ("names", cids.filter("cid < 27").withColumn("chars", F.lit("ن")))]
+    return pipelines.decode(e.select("*", *[c.alias(n) for n, c in place.items()]), sources).select("page", "line_no", "y", "text")
+
+
+DECODE_LINES = f"""with g as (select user_id as page, event_id as seq, event_id % 29 as cid, (event_id * 37 % 5000) / 10.0 as x, 900.0 - event_id % 40 * 20 as y from events),
+c as (select *, case when cid % 3 <> 0 and cid < 25 then substr('{_LETTERS}', cast(cid % {len(_LETTERS)} + 1 as bigint), 1) when cid < 27 then 'ن' else chr(65533) end as ch from g)
+select page, cast(row_number() over (partition by page order by y desc) as integer) as line_no, cast(y as double) as y, string_agg(ch, '' order by x desc, seq) as text from c group by page, y"""
+
+
+def _told(spark: SparkSession, d: str) -> DataFrame:
+    """Turns as lines that no other line is like: letters of a digest before the text, and plain words."""
+    sign = F.translate(F.md5(F.concat_ws(":", "conv_id", "turn").cast("binary")), "0123456789", "ghijklmnop")
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z ]", " "), " +", " "))
+    return read(spark, d, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").cast("bigint").alias("no"), F.trim(F.concat_ws(" ", sign, words)).alias("text"))
+
+
+_TOLD = "(select conv_id as page, cast(turn as bigint) as no, trim(concat_ws(' ', translate(md5(conv_id || ':' || turn), '0123456789', 'ghijklmnop'), trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z ]', ' ', 'g'), ' +', ' ', 'g')))) as text from conversations)"
+
+
+def change_report(spark: SparkSession, d: str) -> DataFrame:
+    """Two versions of pages compared: changes of each kind, and the pages that have them."""
+    before = _told(spark, d)
+    after = before.withColumn("text", F.when(F.col("no") % 3 == 0, F.concat("text", F.lit("."))).when(F.col("no") % 5 == 0, F.concat("text", F.lit(" more"))).otherwise(F.col("text")))
+    return pipelines.report(before, after, ["page"], letters="a-z", labels={"letters restored": "letters", "punctuation restored": "punctuation"})["kinds"].select("kind", "n", "n_pages")
+
+
+CHANGE_REPORT = f"select case when no % 3 = 0 then 'punctuation' else 'letters' end as kind, count(*) as n, count(distinct page) as n_pages from {_TOLD} where no % 3 = 0 or no % 5 = 0 group by 1"
+
+
+def map_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a layout with the final text dealt out to their clusters."""
+    told = _told(spark, d)
+    layout = told.select("page", "no", (F.col("no") * 20.0).alias("y"), F.array(F.split("text", "(?<= )")).alias("segments"))
+    final = told.select("page", "no", F.translate("text", "a", "e").alias("text"))
+    out = pipelines.map_layout(layout, final)["lines"]
+    whole = F.array_join(F.flatten("mapped"), "")
+    return out.select("page", "no", F.size(F.flatten("mapped")).alias("n_clusters"), F.md5(whole.cast("binary")).alias("text_md5"))
+
+
+MAP_PAGES = f"select page, no, cast(len(string_split(text, ' ')) as integer) as n_clusters, md5(translate(text, 'a', 'e')) as text_md5 from {_TOLD}"
+
+
 QUERIES = {
     "bbox_union": (bbox_union, BBOX_UNION), "asof_marker": (asof_marker, ASOF_MARKER), "nearest_join": (nearest_join, NEAREST_JOIN), "anti_overlap": (anti_overlap, ANTI_OVERLAP), "overlap_join": (overlap_join, OVERLAP_JOIN),
     "gap_segments": (gap_segments, GAP_SEGMENTS), "anchored_bands": (anchored_bands, ANCHORED_BANDS), "style_runs": (style_runs, STYLE_RUNS), "single_separators": (single_separators, SINGLE_SEPARATORS),
@@ -431,5 +485,6 @@ QUERIES = {
     "otsu": (otsu, OTSU), "dq_assert": (dq_assert, DQ_ASSERT), "top_unknown": (top_unknown, TOP_UNKNOWN), "pen_positions": (pen_positions, PEN_POSITIONS), "text_boxes": (text_boxes, TEXT_BOXES),
     "resolver_cascade": (resolver_cascade, RESOLVER_CASCADE), "sibling_inherit": (sibling_inherit, SIBLING_INHERIT), "composite_expand": (composite_expand, COMPOSITE_EXPAND), "fixpoint_closure": (fixpoint_closure, FIXPOINT_CLOSURE),
     "cmap_parse": (cmap_parse, CMAP_PARSE), "lex_stream": (lex_stream, None), "page_glyphs": (page_glyphs, None), "page_ranges": (page_ranges, PAGE_RANGES), "ocr_table": (ocr_table, OCR_TABLE), "incremental_pages": (incremental_pages, INCREMENTAL_PAGES),
+    "decode_lines": (decode_lines, DECODE_LINES), "change_report": (change_report, CHANGE_REPORT), "map_pages": (map_pages, MAP_PAGES),
     "line_align": (line_align, None), "line_map": (line_map, None), "line_diff": (line_diff, None), "char_transfer": (char_transfer, None), "absorb_markers": (absorb_markers, ABSORB_MARKERS),
 }

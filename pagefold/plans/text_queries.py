@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from pagefold.functions import charsets as cs
 from pagefold.functions import text as tx
 from pagefold.operators import corpus, lexicon, quality
+from pagefold.plans import pipelines
 from pagefold.plans.base import DUCK_LINES, DUCK_PLAIN, FOLD, LATIN, SPACE, doc_lines, plain, read
 
 
@@ -65,8 +66,9 @@ where not (last and regexp_full_match(line, '[\s()\d.\-]{{1,6}}')) group by doc_
 
 
 def normalise_text(spark: SparkSession, d: str) -> DataFrame:
-    t = F.coalesce("text", F.lit(""))
-    return read(spark, d, "documents").select("doc_id", F.md5(tx.normalise(t).cast("binary")).alias("normal_md5"), F.md5(tx.layout_key(t).cast("binary")).alias("key_md5"), F.length(tx.skeleton(t)).alias("n_skeleton"))
+    composed = read(spark, d, "documents").select("doc_id", tx.nfc(F.coalesce("text", F.lit(""))).alias("t"))
+    same = lambda c: c
+    return composed.select("doc_id", F.md5(tx.normalise(F.col("t"), compose=same).cast("binary")).alias("normal_md5"), F.md5(tx.layout_key(F.col("t"), same).cast("binary")).alias("key_md5"), F.length(tx.skeleton(F.col("t"), same)).alias("n_skeleton"))
 
 
 _COMMON = lambda t: f"translate(regexp_replace(regexp_replace({t}, '[{cs.OCR_PUNCTUATION}]', ' ', 'g'), '[{cs.DIACRITICS_NORMALISE}]', '', 'g'), '{cs.UNIFY[0]}', '{cs.UNIFY[1]}')"
@@ -214,30 +216,35 @@ def _asked(spark: SparkSession, d: str) -> DataFrame:
 _SMALL = f"(select word, count(*) as freq from (select word from {_WORDS('benchmark', 'text')} union all select word from {_WORDS('part', 'p_name')}) where len(word) between 2 and 30 group by word)"
 _ASKED = f"(select distinct word from {_WORDS('conversations', 'text')} where len(word) between 2 and 30)"
 _GRAMS = "list_distinct(case when len({0}) >= 4 then list_transform(range(1, len({0}) - 1), lambda i: substr({0}, i, 3)) when len({0}) <= 2 then [{0}] else list_transform(range(1, len({0})), lambda i: substr({0}, i, 2)) end)"
-_CANDIDATES = f"""(select word, candidate, shared from (select *, row_number() over (partition by word order by shared desc, candidate) as n from (
-  select word, candidate, count(*) as shared from (select word, unnest({_GRAMS.format('word')}) as gram from {_ASKED}) a join (select word as candidate, unnest({_GRAMS.format('word')}) as gram from {_SMALL}) b using (gram) group by word, candidate)) where n <= {{0}})"""
+_PAIRS = f"(select word, candidate, count(*) as shared from (select word, unnest({_GRAMS.format('word')}) as gram from {_ASKED}) a join (select word as candidate, unnest({_GRAMS.format('word')}) as gram from {_SMALL}) b using (gram) group by word, candidate)"
+_CANDIDATES = f"(select word, candidate, shared, n from (select *, row_number() over (partition by word order by shared desc, candidate) as n from {_PAIRS}) where n <= 400)"
 
 
 def gram_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=None)
+    """Of each word the pool of candidates: its size, the n-grams shared in all, and a digest of the list in its order."""
+    found = lexicon.pools(_asked(spark, d), _small_lexicon(spark, d))
+    listed = F.array_join(F.transform("pool", lambda p: F.concat_ws(":", p["candidate"], p["shared"].cast("string"))), ",")
+    shared = F.aggregate("pool", F.lit(0).cast("bigint"), lambda acc, p: acc + p["shared"])
+    return found.select("word", F.size("pool").cast("bigint").alias("n"), shared.alias("shared"), F.md5(listed.cast("binary")).alias("pool_md5"))
 
 
-GRAM_CANDIDATES = f"select word, candidate, shared from {_CANDIDATES.format(20)}"
+GRAM_CANDIDATES = f"select word, count(*) as n, cast(sum(shared) as bigint) as shared, md5(string_agg(candidate || ':' || shared, ',' order by n)) as pool_md5 from {_CANDIDATES} group by word"
 
 
 def bounded_edit(spark: SparkSession, d: str) -> DataFrame:
-    pairs = lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), pool=None)
+    """All lexicon words that share an n-gram with a word and are within two edits of it."""
+    pairs = lexicon.candidates(_asked(spark, d), _small_lexicon(spark, d), None, within=2)
     return pairs.withColumn("distance", lexicon.within_distance(F.col("word"), F.col("candidate"), 2)).filter("distance is not null").select("word", "candidate", "distance")
 
 
-BOUNDED_EDIT = f"select word, candidate, cast(levenshtein(word, candidate) as integer) as distance from {_CANDIDATES.format(20)} where levenshtein(word, candidate) <= 2"
+BOUNDED_EDIT = f"select word, candidate, cast(levenshtein(word, candidate) as integer) as distance from {_PAIRS} where abs(len(word) - len(candidate)) <= 2 and levenshtein(word, candidate) <= 2"
 
 
 def correct_words(spark: SparkSession, d: str) -> DataFrame:
     return lexicon.corrections(_asked(spark, d), _small_lexicon(spark, d))
 
 
-CORRECT_WORDS = f"""with near as (select c.word, candidate, levenshtein(c.word, candidate) as distance, freq from {_CANDIDATES.format(400)} c join {_SMALL} l on c.candidate = l.word
+CORRECT_WORDS = f"""with near as (select c.word, candidate, levenshtein(c.word, candidate) as distance, freq from {_CANDIDATES} c join {_SMALL} l on c.candidate = l.word
   where levenshtein(c.word, candidate) between 1 and case when len(c.word) <= 5 then 1 else 2 end),
 placed as (select *, row_number() over (partition by word order by distance, freq desc, candidate) as place, min(distance) over (partition by word) as nearest from near),
 best as (select word, min(candidate) filter (place = 1) as candidate, count(*) filter (distance = nearest) as alike from placed where place <= 3 group by word),
@@ -305,8 +312,7 @@ CLASSIFY_DIFF = f"select conv_id, turn, kinds from {_CHANGES}"
 
 
 def label_counts(spark: SparkSession, d: str) -> DataFrame:
-    each = _changes(spark, d).select("conv_id", F.explode(F.split("kinds", r" \+ ")).alias("kind"))
-    return each.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("conv_id").alias("n_convs"))
+    return pipelines.kind_counts(_changes(spark, d), ["conv_id"]).withColumnRenamed("n_pages", "n_convs")
 
 
 LABEL_COUNTS = f"select kind, count(*) as n, count(distinct conv_id) as n_convs from (select conv_id, unnest(string_split(kinds, ' + ')) as kind from {_CHANGES}) group by kind"
@@ -348,7 +354,18 @@ def repair_log(spark: SparkSession, d: str) -> DataFrame:
     return corpus.repair_spans(lines, ["doc_id", "line_no"], "t", spans, ["item_id"], items, "q")[1]
 
 
+def correct_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of conversations as scanned lines: noise out, passages of benchmark items put right, words corrected."""
+    lines = read(spark, d, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("line_no"), F.coalesce("text", F.lit("")).alias("text"), F.lit(50.0).alias("conf"))
+    verses = read(spark, d, "benchmark").select(F.col("item_id").alias("part"), F.lit(1).alias("verse"), F.coalesce("text", F.lit("")).alias("text"))
+    bare = lambda c: F.regexp_replace(F.lower(c), f"[^{LATIN}]", "")
+    out, log = pipelines.correct(lines, verses, _small_lexicon(spark, d), f"[{LATIN}]+", LATIN, plain=bare, skeleton=lambda c: F.translate(F.lower(c), *FOLD))
+    counts = log.groupBy("page", "line_no").agg(F.count(F.lit(1)).alias("n_changes"))
+    return out.join(counts, ["page", "line_no"], "left").select("page", "line_no", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.coalesce("n_changes", F.lit(0)).alias("n_changes"))
+
+
 QUERIES = {
+    "correct_pages": (correct_pages, None),
     "weighted_conf": (weighted_conf, WEIGHTED_CONF), "weighted_lines": (weighted_lines, WEIGHTED_LINES), "page_lines": (page_lines, PAGE_LINES), "noise_filter": (noise_filter, NOISE_FILTER),
     "marker_lines": (marker_lines, MARKER_LINES), "normalise_text": (normalise_text, NORMALISE_TEXT), "collapse_marks": (collapse_marks, COLLAPSE_MARKS), "tidy_punct": (tidy_punct, TIDY_PUNCT),
     "digit_map": (digit_map, DIGIT_MAP), "token_explode": (token_explode, TOKEN_EXPLODE), "unique_anchors": (unique_anchors, UNIQUE_ANCHORS), "index_probe": (index_probe, INDEX_PROBE),

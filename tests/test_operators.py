@@ -402,7 +402,32 @@ def test_all_candidates_meet_the_edit_distance(spark, monkeypatch):
     monkeypatch.setattr(text_queries, "_asked", lambda *_: spark.createDataFrame([("abcdefgh",)], "word string"))
     monkeypatch.setattr(text_queries, "_small_lexicon", lambda *_: spark.createDataFrame([(w, 1) for w in [near, *far]], "word string, freq bigint"))
     assert rows(text_queries.bounded_edit(spark, "")) == [("abcdefgh", near, 1)]
-    assert rows(text_queries.gram_candidates(spark, ""), "candidate") == [(w,) for w in sorted([near, *far])]
+    assert rows(text_queries.gram_candidates(spark, ""), "word", "n") == [("abcdefgh", 31)]
+
+
+def test_pools_in_blocks_are_the_same(spark, monkeypatch):
+    """One index, blocks of a larger lexicon, and a join on n-grams by the definition."""
+    rnd = random.Random(3)
+    made = lambda n: sorted({"".join(rnd.choices("abcd", k=rnd.randint(1, 9))) for _ in range(n)})
+    asked, lex = made(60), made(300)
+    words, listed = (spark.createDataFrame([(w,) for w in x], "word string") for x in (asked, lex))
+    want = {}
+    for w in asked:
+        shared = sorted((-len(lexicon.gram_set(w) & lexicon.gram_set(x)), x) for x in lex if lexicon.gram_set(w) & lexicon.gram_set(x))
+        want[w] = [(x, -n) for n, x in shared]
+    joined = lexicon.gram_index(words).join(lexicon.gram_index(listed.select(F.col("word").alias("candidate")), "candidate"), "gram").groupBy("word", "candidate").count()
+    assert rows(joined) == sorted([(w, x, n) for w, found in want.items() for x, n in found], key=repr)
+    for pool in (None, 7):
+        got = {r["word"]: [tuple(p) for p in r["pool"]] for r in lexicon.pools(words, listed, pool).collect()}
+        assert got == {w: found[:pool] for w, found in want.items() if found}
+        near = rows(lexicon.candidates(words, listed, pool, within=2))
+        with monkeypatch.context() as m:
+            m.setattr(lexicon, "INDEX_WORDS", 70)
+            m.setattr(lexicon, "ASKED_BLOCK", 25)
+            assert {r["word"]: [tuple(p) for p in r["pool"]] for r in lexicon.pools(words, listed, pool).collect()} == got
+            assert rows(lexicon.candidates(words, listed, pool, within=2)) == near
+        close = lambda df: rows(df.withColumn("d", F.levenshtein("word", "candidate")).filter("d <= 2"), "word", "candidate")
+        assert close(lexicon.candidates(words, listed, pool, within=2)) == close(lexicon.candidates(words, listed, pool))
 
 
 def test_ratio_score_ranks_all_candidates(spark, monkeypatch):
