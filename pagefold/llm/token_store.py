@@ -4,7 +4,9 @@ A shard holds the ids of consecutive documents as one bit-plane per bit of the l
 lists the ids stably parted by the bits above it, so rank and select on the planes give the id at a place, the
 number of occurrences of an id in a range, and the place of its k-th occurrence, all from the one file.
 
-File: 8 bytes of magic, 8 bytes length of the header, the header (zstd, JSON), the planes (zstd).
+File: magic, length of the header; the header (JSON: sizes, zeros of each plane, compressed size of each block); the rank
+directory (ones before each block of each plane); the keys and lengths of the documents (Arrow, zstd); and the planes in blocks, each
+compressed alone. Access, count and occurrence lookup read the head and then a block or two for each plane, a few KB each.
 """
 
 from __future__ import annotations
@@ -14,13 +16,13 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
+import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +31,11 @@ from pyspark.sql.window import Window
 from pagefold.llm.bpe import byte_symbols
 from pagefold.llm.common import Memo, fresh_path, only, slices
 
-MAGIC = b"WAVEMAT1"
+MAGIC = b"WAVEMAT2"
 MEMO_WORDS = 400_000
 #: Ids in a shard, give or take a document's.
 SHARD_IDS = 1 << 20
-BLOCK = 512  # bits between two entries of a plane's rank directory
+BLOCK_BYTES = 4096  # of a plane between two entries of its rank directory, compressed alone
 #: No match of the tokenizer's own splitting crosses ASCII white space, which it drops.
 WORDS = re.compile(r"[^ \t\n\r\f\v]+")
 #: White space besides ASCII's, and separators that Python's patterns may count as such, within Latin-1.
@@ -46,27 +48,37 @@ LETTERS = re.compile(r"[a-zªµºß-öø-ÿ]+")
 
 
 class WaveletMatrix:
-    """Bit-planes with rank and select over a sequence of unsigned ids."""
+    """Bit-planes with rank and select over a sequence of unsigned ids.
 
-    def __init__(self, n: int, zeros: list[int], planes: list[np.ndarray]):
-        self.n, self.zeros, self.planes, self.depth = n, zeros, planes, len(planes)
-        self._dirs: list[np.ndarray] | None = None
+    zeros: zero bits of each plane; ranks: ones before each block of each plane; piece(level, block): the bytes of a block.
+    """
+
+    def __init__(self, n: int, zeros: list[int], ranks: np.ndarray, piece: Callable[[int, int], np.ndarray]):
+        self.n, self.zeros, self.ranks, self.piece, self.depth = n, zeros, ranks, piece, len(zeros)
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         depth = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         now = ids.astype(np.uint16 if depth <= 16 else np.uint32)
-        zeros, planes = [], []
+        zeros, planes, ranks = [], [], []
         for b in range(depth - 1, -1, -1):
             bit = (now >> b) & 1 == 1
-            planes.append(np.packbits(bit))
+            plane = np.packbits(bit)
+            whole = np.pad(plane, (0, -len(plane) % BLOCK_BYTES)).reshape(-1, BLOCK_BYTES)
+            ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(whole).sum(1, dtype=np.int64))]))
+            planes.append(plane)
             low = np.compress(~bit, now)
             zeros.append(len(low))
             now = np.concatenate([low, np.compress(bit, now)])
-        return cls(len(ids), zeros, planes)
+        return cls(len(ids), zeros, np.array(ranks, np.int64).reshape(depth, -1), lambda level, k: planes[level][k * BLOCK_BYTES : (k + 1) * BLOCK_BYTES])
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.n // (8 * BLOCK_BYTES))
 
     def _bits(self, level: int) -> np.ndarray:
-        return np.unpackbits(self.planes[level], count=self.n).view(bool)
+        parts = [self.piece(level, k) for k in range(self.blocks)]
+        return np.unpackbits(np.concatenate(parts) if parts else np.empty(0, np.uint8), count=self.n).view(bool)
 
     def all(self) -> np.ndarray:
         """Every id in order, from the lowest plane up."""
@@ -80,27 +92,21 @@ class WaveletMatrix:
 
     def _rank(self, level: int, i: int) -> int:
         """Ones among the first i bits of a plane."""
-        if self._dirs is None:
-            counts = lambda p: np.bitwise_count(np.pad(p, (0, -len(p) % (BLOCK // 8)))).reshape(-1, BLOCK // 8).sum(1)
-            self._dirs = [np.concatenate([[0], np.cumsum(counts(p))]) for p in self.planes]
-        whole = i // BLOCK
-        part = self.planes[level][whole * BLOCK // 8 : (i + 7) // 8]
-        ones = int(np.bitwise_count(part).sum())
-        if i % 8 and len(part):
-            ones -= (int(part[-1]) & (0xFF >> (i % 8))).bit_count()
-        return int(self._dirs[level][whole]) + ones
+        block, rest = divmod(i, 8 * BLOCK_BYTES)
+        ones = int(self.ranks[level][block])
+        if rest:
+            part = self.piece(level, block)[: (rest + 7) // 8]
+            ones += int(np.bitwise_count(part).sum())
+            if rest % 8:
+                ones -= (int(part[-1]) & (0xFF >> (rest % 8))).bit_count()
+        return ones
 
     def _select(self, level: int, bit: int, k: int) -> int:
-        """Place of the k-th (from 0) such bit of a plane."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self._rank(level, mid + 1)
-            if (ones if bit else mid + 1 - ones) > k:
-                hi = mid
-            else:
-                lo = mid + 1
-        return lo
+        """Place of the k-th (from 0) such bit of a plane: its block from the directory, then its place in the block."""
+        before = self.ranks[level] if bit else np.arange(self.blocks + 1) * (8 * BLOCK_BYTES) - self.ranks[level]
+        block = int(np.searchsorted(before, k, "right")) - 1
+        bits = np.unpackbits(self.piece(level, block))
+        return block * 8 * BLOCK_BYTES + int(np.flatnonzero(bits == bit)[k - int(before[block])])
 
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
@@ -141,22 +147,54 @@ class WaveletMatrix:
         return at
 
 
-def dump(wavelet: WaveletMatrix, doc_ids: list, lengths: list[int]) -> bytes:
-    header = {"n": wavelet.n, "zeros": wavelet.zeros, "doc_ids": doc_ids, "lengths": lengths}
+def dump(wavelet: WaveletMatrix, keys: pa.Array, lengths: list[int]) -> bytes:
     zstd = pa.Codec("zstd", compression_level=1)
-    raw, planes = json.dumps(header).encode(), b"".join(p.tobytes() for p in wavelet.planes)
-    head = len(raw).to_bytes(8, "little") + zstd.compress(raw, asbytes=True)
-    return MAGIC + len(head).to_bytes(8, "little") + head + zstd.compress(planes, asbytes=True)
+    blocks = [zstd.compress(wavelet.piece(level, k).tobytes(), asbytes=True) for level in range(wavelet.depth) for k in range(wavelet.blocks)]
+    sink = pa.BufferOutputStream()
+    documents = pa.RecordBatch.from_arrays([keys, pa.array(lengths, pa.int64())], ["key", "length"])
+    with pa.ipc.new_stream(sink, documents.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(documents)
+    told, ranks = sink.getvalue().to_pybytes(), wavelet.ranks.astype("<i8").tobytes()
+    head = json.dumps({"n": wavelet.n, "zeros": wavelet.zeros, "documents": len(told), "ranks": len(ranks), "blocks": [len(b) for b in blocks]}).encode()
+    return b"".join([MAGIC, len(head).to_bytes(8, "little"), head, ranks, told, *blocks])
+
+
+class Shard:
+    """A shard's file, of which only what is asked for is read. at(start, size): bytes of the file."""
+
+    def __init__(self, at: Callable[[int, int], bytes]):
+        if at(0, 8) != MAGIC:
+            raise ValueError("not a wavelet matrix file")
+        size = int.from_bytes(at(8, 8), "little")
+        head = json.loads(at(16, size))
+        depth, start = len(head["zeros"]), 16 + size
+        ranks = np.frombuffer(at(start, head["ranks"]), "<i8").reshape(depth, -1)
+        self._documents = (start + head["ranks"], head["documents"])
+        starts = np.cumsum([sum(self._documents), *head["blocks"]])
+        per_plane, zstd, n = len(head["blocks"]) // depth, pa.Codec("zstd"), head["n"]
 
+        @lru_cache(4 * depth)
+        def piece(level: int, k: int) -> np.ndarray:
+            i = level * per_plane + k
+            size = min(BLOCK_BYTES, (n + 7) // 8 - k * BLOCK_BYTES)
+            return np.frombuffer(zstd.decompress(at(int(starts[i]), head["blocks"][i]), size, asbytes=True), np.uint8)
 
-def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
-    if data[:8] != MAGIC:
-        raise ValueError("not a wavelet matrix file")
-    zstd, end = pa.Codec("zstd"), 16 + int.from_bytes(data[8:16], "little")
-    header = json.loads(zstd.decompress(data[24:end], int.from_bytes(data[16:24], "little"), asbytes=True))
-    width, depth = (header["n"] + 7) // 8, len(header["zeros"])
-    planes = np.frombuffer(zstd.decompress(data[end:], width * depth, asbytes=True), np.uint8) if width else np.empty(0, np.uint8)
-    return WaveletMatrix(header["n"], header["zeros"], [planes[k * width : (k + 1) * width] for k in range(depth)]), header["doc_ids"], header["lengths"]
+        self.at, self.wavelet = at, WaveletMatrix(n, head["zeros"], ranks, piece)
+
+    def documents(self) -> pa.Table:
+        """key and length of the shard's documents, in order."""
+        return pa.ipc.open_stream(self.at(*self._documents)).read_all()
+
+
+def in_memory(data: bytes) -> Shard:
+    return Shard(lambda start, size: data[start : start + size])
+
+
+def opened(where: str, path: str) -> Shard:
+    """A shard of a store, read by ranges."""
+    fs, _ = pyarrow.fs.FileSystem.from_uri(where)
+    f = fs.open_input_file(path)
+    return Shard(lambda start, size: f.read_at(size, start))
 
 
 def in_pieces(text: str) -> bool:
@@ -244,15 +282,16 @@ def write(docs: DataFrame, vocab_path: str, end_id: int, where: str | None = Non
         fs, base = pyarrow.fs.FileSystem.from_uri(where)
         fs.create_dir(base, recursive=True)
         end = np.array([end_id], "<u4").tobytes()
-        held, keys, lengths, n, seq = [], [], [], 0, 0
+        held, keys, lengths, n, seq, kind = [], [], [], 0, 0, None
 
         def close() -> pa.RecordBatch:
             name = f"{base}/{part:06d}-{seq:06d}-{uuid.uuid4().hex[:8]}.wm"
             with fs.open_output_stream(name) as f:
-                f.write(dump(WaveletMatrix.build(np.frombuffer(b"".join(held), "<u4")), keys, lengths))
+                f.write(dump(WaveletMatrix.build(np.frombuffer(b"".join(held), "<u4")), pa.array(keys, kind), lengths))
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "seq": pa.array([seq], pa.int64()), "path": [name], "n_docs": pa.array([len(keys)], pa.int64()), "n_ids": pa.array([n], pa.int64())})
 
         for batch in slices(batches, 1):
+            kind = batch.schema.field(0).type
             for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 held += [ids, end]
                 keys.append(k)
@@ -279,23 +318,25 @@ def manifest(spark: SparkSession, where: str) -> DataFrame:
 
 
 def read(shards: DataFrame, key: str = "doc_id", kind: str = "bigint", with_ids: bool = False) -> DataFrame:
-    """Documents of the shards' files: key, start (ids of all documents before), n_tokens, ids_crc32 (CRC-32 of the
-    ids as little-endian unsigned 32-bit integers), and with `with_ids` also ids."""
+    """Documents of the shards' files: key (of the type `kind`), start (ids of all documents before), n_tokens, ids_crc32 (CRC-32 of the
+    ids as little-endian unsigned 32-bit integers), and with `with_ids` also ids. A shard is read as a whole, plane by plane."""
     schema = f"`{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for where, path, start in zip(frame["where"], frame["path"], frame["start"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for where, path, start in zip(*(c.to_pylist() for c in batch.columns)):
                 fs, _ = pyarrow.fs.FileSystem.from_uri(where)
                 with fs.open_input_stream(path) as f:
-                    wavelet, keys, lengths = load(f.read())
-                ids = wavelet.all().astype("<u4")
+                    shard = in_memory(f.read())
+                documents, ids = shard.documents().combine_chunks(), shard.wavelet.all().astype("<u4")
+                lengths = documents.column("length").to_numpy()
                 ends = np.cumsum(lengths)
-                starts = ends - lengths
-                parts = [ids[a:b] for a, b in zip(starts, ends)]
-                out = {key: pd.Series(keys, dtype="Int64" if "int" in kind else object), "start": starts + start, "n_tokens": lengths, "ids_crc32": [zlib.crc32(p.tobytes()) for p in parts]}
-                yield pd.DataFrame(out | ({"ids": [p.astype(np.int32) for p in parts]} if with_ids else {}))
+                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends - lengths, ends)]
+                columns = [documents.column("key").chunk(0), pa.array(ends - lengths + start), pa.array(lengths), pa.array(crcs, pa.int64())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, [key, "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
     # shards are large and the manifest is small: a given number of partitions keeps Spark from putting it into one
     tasks = max(1, min(shards.count(), 20_000))
-    return shards.select("where", "path", "start").repartition(tasks, F.col("path")).mapInPandas(run, schema)
+    return shards.select("where", "path", "start").repartition(tasks, F.col("path")).mapInArrow(run, schema)

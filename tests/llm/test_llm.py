@@ -11,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -591,8 +592,9 @@ def test_wavelet_matrix():
     rng = np.random.default_rng(0)
     for n, top in ((0, 1), (1, 1), (7, 3), (1300, 70_000)):
         a = rng.integers(0, top, n).astype(np.uint32)
-        w, keys, lengths = token_store.load(token_store.dump(token_store.WaveletMatrix.build(a), [1, None], [3, 4]))
-        assert (w.all() == a).all() and keys == [1, None] and lengths == [3, 4]
+        shard = token_store.in_memory(token_store.dump(token_store.WaveletMatrix.build(a), pa.array([1, None]), [3, 4]))
+        w = shard.wavelet
+        assert (w.all() == a).all() and shard.documents().to_pydict() == {"key": [1, None], "length": [3, 4]}
         assert all(w.access(i) == a[i] for i in range(0, n, 13))
         for x in [*a[:9].tolist(), top + 5]:
             lo, hi = sorted(rng.integers(0, n + 1, 2).tolist())
@@ -601,6 +603,24 @@ def test_wavelet_matrix():
             assert [w.occurrence(x, k) for k in range(len(places) + 1)] == [*places.tolist(), None]
 
 
+def test_lookups_read_few_bytes(tmp_path):
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 49_000, 400_000).astype(np.uint32)
+    data, seen = token_store.dump(token_store.WaveletMatrix.build(a), pa.array([1]), [len(a)]), []
+    shard = token_store.Shard(lambda start, size: seen.append(size) or data[start : start + size])
+    head = sum(seen)
+    assert shard.wavelet.access(222_222) == a[222_222] and sum(seen) - head <= 2 * 16 * 4200 and sum(seen) < 0.2 * len(data)
+    where = np.flatnonzero(a == a[5])
+    assert shard.wavelet.count(int(a[5])) == len(where) and shard.wavelet.occurrence(int(a[5]), len(where) - 1) == where[-1]
+
+
+@pytest.mark.parametrize("kind,value", [("date", "date '2020-01-02'"), ("decimal(20,2)", "cast(12.5 as decimal(20,2))"), ("binary", "cast('k' as binary)"), ("string", "'x'")])
+def test_token_store_takes_keys_of_any_type(spark, tmp_path, kind, value):
+    docs = spark.sql(f"select {value} as doc_id, 'some words' as text union all select cast(null as {kind}), null")
+    back = token_store.read(token_store.write(docs, WORD_BPE, 2, f"file://{tmp_path}/k"), kind=kind, with_ids=True).orderBy("start").collect()
+    assert [r["doc_id"] for r in back] == [None, docs.first()["doc_id"]] and back[0]["ids"] == [2] and back[1]["n_tokens"] == len(back[1]["ids"])
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>
 <!-- ad --><div class="ad">Buy this now, it is cheap.</div><article><h1>A title &amp; more</h1><p><b>First line of
  the   text.<br><p>Second paragraph with a <a href="/x">link</a> and &eacute;&nbsp;signs, long enough to be read as prose.</p><p>Third paragraph, which goes on for some time about this and that.</p></article>
