@@ -166,8 +166,8 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.dedup(empty).count() == 0
 
 
-@pytest.mark.parametrize("block", [4, 2048])
-def test_simhash_links_chains_and_long_lists(spark, block):
+@pytest.mark.parametrize("block,quads_from", [(4, 1 << 26), (2048, 1 << 26), (4, 0), (2048, 0)])
+def test_simhash_links_chains_and_long_lists(spark, block, quads_from):
     """Fingerprints in chains and dense groups; small blocks send lists through the pairs of blocks."""
     rnd = random.Random(3)
     prints = [rnd.getrandbits(64) for _ in range(40)]
@@ -179,7 +179,7 @@ def test_simhash_links_chains_and_long_lists(spark, block):
     prints = sorted(set(prints))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(x),) for x in prints], "fp bigint")
-    found = {r["u"]: r["root"] for r in simhash.components(simhash.links(df, block=block)).collect()}
+    found = {r["u"]: r["root"] for r in simhash.components(simhash.links(df, quads_from=quads_from, block=block)).collect()}
     want = reachable({k: x for k, x in enumerate(prints)})
     groups = collections.defaultdict(set)
     for k, x in enumerate(prints):
@@ -712,3 +712,34 @@ def test_pipeline(spark, tmp_path):
     near = simhash.dedup(exact)
     copies = {r["doc_id"]: r["copies"] for r in mixing.plan(near).collect()}
     assert out == collections.Counter({k: v for k, v in copies.items() if v})
+
+
+def test_pipeline_drops_toxic_rows_and_reruns_agree(spark, tmp_path):
+    """Toxic rows, nulls in every column, copies and an empty table; nothing is left in the shared folder but the result."""
+    import corpus_pipeline
+
+    rnd = random.Random(11)
+    words = ["river", "stone", "window", "apple", "garden", "music", "letter", "summer", "market", "bridge", "paper", "yellow"]
+    rows, labels = [], []
+    for i in range(400):
+        text = [rnd.choice(words) + str(rnd.randrange(30)) for _ in range(rnd.randint(20, 60))]
+        bad = i % 4 == 0
+        if bad:
+            for _ in range(6):
+                text.insert(rnd.randrange(len(text)), rnd.choice(["grunkle", "blorpish", "snarfen"]))
+        rows.append((i, " ".join(text), "en", rnd.choice(["a", "b", None]), 1))
+        labels.append((i, 1, int(bad)))
+    rows += [(1000, rows[1][1], "en", "a", 1), (1001, None, None, None, None), (None, "some text without a key", "en", "b", 1), (1002, "", "en", "c", 0)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    first, second = (counted(corpus_pipeline.run(spark, str(tmp_path)).collect()) for _ in range(2))
+    assert first == second
+    kept = {r[0] for r in first}
+    scored = {r["doc_id"]: r["predicted"] for r in toxicity.scored(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    assert sum(scored[i] for i in range(0, 400, 4)) >= 90 and not any(scored[k] for k in kept if k is not None)
+    assert 1 not in kept  # the larger key of equal texts stays
+    (tmp_path / "e").mkdir()
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/e/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/e/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/e").count() == 0
