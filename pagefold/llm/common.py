@@ -103,8 +103,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, rows: int = BATCH_ROWS,
 
 
 @contextmanager
-def large_batches(spark: SparkSession, rows: int = 20_000) -> Iterator[None]:
-    """Arrow batches of many short rows, for what is computed inside."""
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is computed inside: many where rows are short, few where they are whole texts."""
     before = spark.conf.get(ARROW_ROWS, "10000")
     spark.conf.set(ARROW_ROWS, str(rows))
     try:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagefold.llm.common import ascii_lower, keep_marked, large_batches, only, written
+from pagefold.llm.common import arrow_rows, ascii_lower, keep_marked, only, written
 
 #: Fingerprints with copies that are broadcast at most (8 bytes each); beyond it, documents are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -137,7 +137,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     plain = only(docs, key, text).toDF("k", "t").withColumn("t", ascii_lower(F.coalesce("t", F.lit(""))))
     prints = written(plain.select("k", F.xxhash64("t").alias("fp"), F.sha2("t", 256).alias("sha")), "prints")
     blocks = 1 << max(6, (4 * prints.rdd.getNumPartitions()).bit_length())
-    with large_batches(docs.sparkSession):
+    with arrow_rows(docs.sparkSession, 20_000):
         copied = written(copied_fingerprints(prints, "fp", blocks), "copied")
     few = copied.count() <= BROADCAST_ROWS
     routed = plain.withColumn("fp", F.xxhash64("t")).join(F.broadcast(copied.select("fp")) if few else copied.select("fp"), "fp", "left_semi")

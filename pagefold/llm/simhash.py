@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagefold.llm.common import ASCII_LOWER, WORD, keep_marked, large_batches, only, slices, written
+from pagefold.llm.common import ASCII_LOWER, BATCH_ROWS, WORD, arrow_rows, keep_marked, only, slices, written
 
 WORDS = re.compile(WORD)
 #: Distinct fingerprints beyond which byte quads are indexed, as triples would share lists by chance.
@@ -175,7 +175,7 @@ def links(prints: DataFrame, max_bits: int = 4, quads_from: int = QUADS_FROM, bl
         if short.any():
             yield links_out(*within(keys[short], fps[short]))
 
-    with large_batches(prints.sparkSession):
+    with arrow_rows(prints.sparkSession, 20_000):
         found = written(lists.mapInArrow(scan, "a bigint, b bigint, list bigint, block int, fps binary"), "links")
     out = found.filter("a is not null").select("a", "b")
     blocks = found.filter("list is not null")
@@ -240,7 +240,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
 
 def classes(docs: DataFrame, text: str, key: str, n: int, max_bits: int) -> DataFrame:
     """k, sign, fp and component_id of every row."""
-    prints = written(fingerprints(docs, text, key, n).toDF("k", "sign", "fp"), "prints")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        prints = written(fingerprints(docs, text, key, n).toDF("k", "sign", "fp"), "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("k").alias("low")), "distinct")
     roots = components(links(distinct.select("fp"), max_bits)).withColumnRenamed("u", "fp")
     classed = written(distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "classes")

@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagefold.llm.bpe import byte_symbols
-from pagefold.llm.common import Memo, fresh_path, only, slices
+from pagefold.llm.common import BATCH_ROWS, Memo, arrow_rows, fresh_path, only, slices
 
 MAGIC = b"WAVEMAT2"
 MEMO_WORDS = 400_000
 #: Ids in a shard, give or take a document's.
 SHARD_IDS = 1 << 20
-BLOCK_BYTES = 4096  # of a plane between two entries of its rank directory, compressed alone
+BLOCK_BYTES = 8192  # of a plane between two entries of its rank directory, compressed alone
 #: No match of the tokenizer's own splitting crosses ASCII white space, which it drops.
 WORDS = re.compile(r"[^ \t\n\r\f\v]+")
 #: White space besides ASCII's, and separators that Python's patterns may count as such, within Latin-1.
@@ -304,7 +304,8 @@ def write(docs: DataFrame, vocab_path: str, end_id: int, where: str | None = Non
             yield close()
 
     listed = f"{where}/manifest"
-    rows.mapInArrow(run, "part bigint, seq bigint, path string, n_docs bigint, n_ids bigint").write.parquet(listed)
+    with arrow_rows(spark, BATCH_ROWS):
+        rows.mapInArrow(run, "part bigint, seq bigint, path string, n_docs bigint, n_ids bigint").write.parquet(listed)
     return manifest(spark, where)
 
 

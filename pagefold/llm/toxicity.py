@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
-from pagefold.llm.common import WORD, only, slices, written
+from pagefold.llm.common import BATCH_ROWS, WORD, arrow_rows, only, slices, written
 
 LAMBDA, SPAN, FLOOR = 0.7, 8, 0.3
 #: A word is compared by its pieces if its kernel with a stem is this share of the stem's own.
@@ -422,7 +422,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array([f"{k}" for k in columns[0]], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.bool_()), pa.array(columns[4], pa.binary())], ["k", "y", "m", "word", "x"])
 
-    rows_ = sample.mapInArrow(features, "k string, y int, m double, word boolean, x binary").toArrow()
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        rows_ = sample.mapInArrow(features, "k string, y int, m double, word boolean, x binary").toArrow()
     order = np.lexsort([rows_.column("x").to_numpy(), rows_.column("word").to_numpy(), rows_.column("k").to_numpy()])
     _, of = np.unique(rows_.column("k").to_numpy()[order].astype(str), return_inverse=True)
     y, m, word = (rows_.column(c).to_numpy()[order] for c in ("y", "m", "word"))
