@@ -65,7 +65,7 @@ class WaveletMatrix:
             bit = (now >> b) & 1 == 1
             plane = np.packbits(bit)
             whole = np.pad(plane, (0, -len(plane) % BLOCK_BYTES)).reshape(-1, BLOCK_BYTES)
-            ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(whole).sum(1, dtype=np.int64))]))
+            ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(whole.view(np.uint64)).sum(1, dtype=np.int64))]))
             planes.append(plane)
             low = np.compress(~bit, now)
             zeros.append(len(low))
