@@ -32,7 +32,7 @@ from pagefold.llm.bpe import byte_symbols
 from pagefold.llm.common import BATCH_ROWS, Memo, arrow_rows, fresh_path, only, slices
 
 MAGIC = b"WAVEMAT2"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 #: Ids in a shard, give or take a document's.
 SHARD_IDS = 1 << 20
 BLOCK_BYTES = 8192  # of a plane between two entries of its rank directory, compressed alone
@@ -300,6 +300,7 @@ def write(docs: DataFrame, vocab_path: str, end_id: int, where: str | None = Non
                 if n >= shard_ids:
                     yield close()
                     held, keys, lengths, n, seq = [], [], [], 0, seq + 1
+                    pa.default_memory_pool().release_unused()
         if keys:
             yield close()
 
