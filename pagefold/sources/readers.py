@@ -16,24 +16,27 @@ CORPUS = "array<struct<id:int,name:string,verses:array<struct<id:int,text:string
 
 def ocr_words(lines: DataFrame, line: str = "line", order: str = "no", by: tuple[str, ...] = ()) -> DataFrame:
     """Words of an OCR engine's tab-separated rows: level 5, twelve fields, numbers that parse, text that is not blank."""
-    f = F.split(line, "\t")
-    field = lambda i, kind: F.try_element_at(f, F.lit(i + 1)).try_cast(kind)
+    # each row is cut once: no condition on the fields moves below the explode
+    cut = lines.select(*by, order, F.explode(F.array(F.split(line, "\t"))).alias("__f"))
+    field = lambda i, kind: F.try_element_at("__f", F.lit(i + 1)).try_cast(kind)
     names = [c.split() for c in OCR_COLUMNS.split(", ")]
-    parsed = lines.select(*by, order, F.size(f).alias("__n"), *[field(i, kind).alias(name) for i, (name, kind) in enumerate(names)])
+    parsed = cut.select(*by, order, F.size("__f").alias("__n"), *[field(i, kind).alias(name) for i, (name, kind) in enumerate(names)])
     numbers = [F.col(n).isNotNull() for n, kind in names if kind != "string"]
-    good = (F.col("__n") >= 12) & (F.col("level") == 5) & (tx.strip(F.col("text")) != "")
+    good = (F.col("__n") >= 12) & (F.col("level") == 5) & F.col("text").rlike(r"(?U)\S")
     for n in numbers:
         good = good & n
     return parsed.filter(good).drop("__n")
 
 
 def ocr_lines(words: DataFrame, order: str = "no", by: tuple[str, ...] = ()) -> DataFrame:
-    """Lines of those words: box around them, words in order, numbered from the top."""
+    """Lines of those words: box around them, words in order and their number, numbered from the top.
+
+    The number is a count of its own: who needs no words doesn't have them gathered."""
     box = F.array(F.col("left"), F.col("top"), F.col("left") + F.col("width"), F.col("top") + F.col("height"))
     word = F.struct(order, F.struct("text", "conf", box.alias("bbox")).alias("w"))
     lines = words.groupBy(*by, "page", "blk", "par", "ln").agg(
         F.array(F.min("left"), F.min("top"), F.max(F.col("left") + F.col("width")), F.max(F.col("top") + F.col("height"))).alias("bbox"),
-        F.transform(F.array_sort(F.collect_list(word)), lambda s: s["w"]).alias("words"), F.min(order).alias("__first"))
+        F.transform(F.array_sort(F.collect_list(word)), lambda s: s["w"]).alias("words"), F.count(F.lit(1)).alias("n_words"), F.min(order).alias("__first"))
     w = Window.partitionBy(*by, "page").orderBy(F.element_at("bbox", 2), "__first")
     return lines.withColumn("line_no", F.row_number().over(w)).drop("__first")
 
