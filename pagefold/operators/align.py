@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagefold.functions import charsets as cs
+from pagefold.functions import matching
 from pagefold.functions import text as tx
 from pagefold.operators import quality
 from pagefold.operators.corpus import ratio
@@ -31,21 +32,74 @@ def likeness(a: str, b: str) -> float:
     return 1.0 if a == b else 0.0 if not a or not b else ratio(a, b)
 
 
+def most_alike(left: list[str], right: list[str]) -> np.ndarray:
+    """What the likeness of each two lines can't exceed: twice the signs that both have, by their length together."""
+    signs = {c: k for k, c in enumerate(sorted(set("".join(right))))}
+    count = np.zeros((len(left), len(signs)), np.int32), np.zeros((len(right), len(signs)), np.int32)
+    for side, lines in zip(count, (left, right)):
+        for k, line in enumerate(lines):
+            for c in set(line):
+                if c in signs:
+                    side[k, signs[c]] = line.count(c)
+    common = np.zeros((len(left), len(right)), np.int64)
+    for k in range(len(signs)):
+        common += np.minimum(count[0][:, k, None], count[1][None, :, k])
+    sizes = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :]
+    return np.where(sizes == 0, 1.0, 2.0 * common / np.maximum(sizes, 1))  # empty lines are alike
+
+
+def best_ways(score: np.ndarray, gap: float) -> np.ndarray:
+    """Best sum to each place of the grid, by diagonals: each depends on the two before."""
+    n, m = score.shape
+    best = np.zeros((n + 1, m + 1))
+    best[:, 0], best[0, :] = gap * np.arange(n + 1), gap * np.arange(m + 1)
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        best[i, j] = np.maximum(np.maximum(best[i - 1, j - 1] + score[i - 1, j - 1], best[i - 1, j] + gap), best[i, j - 1] + gap)
+    return best
+
+
 def align(left: list[str], right: list[str], gap: float = GAP) -> tuple[list[tuple[int, int]], list[int], list[int]]:
-    """Best order-preserving pairs of two lists of keys, and what is left of each. Ties prefer a pair, then the left."""
+    """Best order-preserving pairs of two lists of keys, and what is left of each. Ties prefer a pair, then the left.
+
+    Lines are compared only where a best way may lead: bounds on their likeness show which pairs are on none, and those
+    stay out. Each round compares the pairs of the best way by bounds; its exact sum is one that the best way has at least.
+    """
     n, m = len(left), len(right)
     memo: dict[tuple[str, str], float] = {}
-    score = np.zeros((n, m))
-    for i, a in enumerate(left):
-        for j, b in enumerate(right):
-            if (a, b) not in memo:
-                memo[a, b] = pair_score(likeness(a, b))
-            score[i, j] = memo[a, b]
-    best = np.zeros((n + 1, m + 1))
-    best[:, 0], best[0, :] = gap * np.arange(n + 1), gap * np.arange(m + 1)
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            best[i, j] = max(best[i - 1, j - 1] + score[i - 1, j - 1], best[i - 1, j] + gap, best[i, j - 1] + gap)
+
+    def told(i: int, j: int) -> float:
+        if (left[i], right[j]) not in memo:
+            memo[left[i], right[j]] = pair_score(likeness(left[i], right[j]))
+        return memo[left[i], right[j]]
+
+    score = pair_score(most_alike(left, right)) if n and m else np.zeros((n, m))
+    known = np.zeros((n, m), bool)
+    rounds = 0
+    while n and m:
+        best, rest = best_ways(score, gap), best_ways(score[::-1, ::-1], gap)[::-1, ::-1]
+        i, j, way, total = n, m, [], 0.0
+        while i and j:
+            if best[i, j] == best[i - 1, j - 1] + score[i - 1, j - 1]:
+                i, j = i - 1, j - 1
+                way.append((i, j))
+                total += told(i, j)
+            elif best[i, j] == best[i - 1, j] + gap:
+                i, total = i - 1, total + gap
+            else:
+                j, total = j - 1, total + gap
+        total += gap * (i + j)
+        score[best[:-1, :-1] + score + rest[1:, 1:] < total - 1e-6] = -np.inf
+        open_ = np.argwhere(~known & np.isfinite(score))
+        rounds += 1
+        if len(open_) > 4 * (n + m) and rounds < 8 and not all(known[p] for p in way):
+            open_ = way
+        for i, j in open_:
+            score[i, j], known[i, j] = told(i, j), True
+        if open_ is not way:
+            break
+    best = best_ways(score, gap)
     pairs, i, j = [], n, m
     while i and j:
         if best[i, j] == best[i - 1, j - 1] + score[i - 1, j - 1]:
@@ -85,13 +139,16 @@ def map_lines(left: list[str], right: list[str], weak: float = 0.45, second: flo
         if likeness(left[i], right[j]) < weak:
             findings.append(("weak", i))
     alone, single = [rest[0][i] for i in alone], [rest[1][j] for j in single]
-    options = sorted(((likeness(left[i], right[j]), -i, -j) for i in alone for j in single), reverse=True)
+    # only what may be alike enough is compared
+    near = np.argwhere(most_alike([left[i] for i in alone], [right[j] for j in single]) >= second - 1e-9) if alone and single else ()
+    options = sorted(((likeness(left[alone[x]], right[single[y]]), -alone[x], -single[y]) for x, y in near), reverse=True)
+    free = set(alone), set(single)
     for r, i, j in options:
-        if r >= second and -i in alone and -j in single:
-            alone.remove(-i)
-            single.remove(-j)
+        if r >= second and -i in free[0] and -j in free[1]:
+            free[0].remove(-i)
+            free[1].remove(-j)
             pairs.append((-i, -j, "second"))
-    findings += [("left only", i) for i in alone] + [("right only", j) for j in single]
+    findings += [("left only", i) for i in alone if i in free[0]] + [("right only", j) for j in single if j in free[1]]
     return sorted(pairs), findings
 
 
@@ -159,7 +216,7 @@ def spread_characters(clusters: list[str], final: str) -> list[str]:
     out = [""] * len(clusters)
     if not out:
         return out
-    for tag, a0, a1, b0, b1 in difflib.SequenceMatcher(None, source, final, autojunk=False).get_opcodes():
+    for tag, a0, a1, b0, b1 in matching.opcodes(source, final):
         if tag == "equal":
             for k in range(a1 - a0):
                 out[owner[a0 + k]] += final[b0 + k]

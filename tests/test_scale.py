@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pagefold.operators import corpus, spatial
+from pagefold.operators import align, corpus, spatial
 from pagefold.sources import readers
 
 
@@ -54,3 +54,17 @@ def test_span_search_moves_no_lines(spark):
     out = corpus.find_spans(lines, ["id"], "t", verses, anchors, ["v"], "q")
     assert [tuple(r) for r in out.collect()] == [(1, 7, 20_001, 20_003, 1.0)]
     assert "posexplode" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alignment_compares_few_lines(monkeypatch):
+    """All pairs of two versions of a page were compared: 12,000."""
+    lines = [f"{k * 7919 % 1000:03d} " + chr(97 + k % 26) * 20 + chr(97 + k // 26) * 9 for k in range(120)]
+    calls, likeness = [], align.likeness
+    monkeypatch.setattr(align, "likeness", lambda a, b: calls.append(1) or likeness(a, b))
+    pairs, left, right = align.align(lines, [x + "." for k, x in enumerate(lines) if k % 6])
+    assert pairs == [(k, n) for n, k in enumerate(k for k in range(120) if k % 6)] and left == list(range(0, 120, 6)) and not right
+    assert len(calls) < 1000
+
+
+def test_empty_lines_align():
+    assert align.align(["", "a", ""], ["", ""]) == ([(0, 0), (2, 1)], [1], [])
