@@ -79,3 +79,37 @@ def test_typed_runs_and_signature(spark):
 @given(st.lists(st.text(alphabet="ab ()<>[]«»َّ.1", max_size=12), min_size=1, max_size=6))
 def test_mirror_twice_is_the_text(spark, texts):
     assert of(spark, lambda c: tx.mirror(tx.mirror(c)), *texts) == texts
+
+
+def test_one_pass_does_what_the_rules_do(spark):
+    """Every character up to U+FFFF, between letters and beside its neighbours."""
+    every = [chr(k) for k in range(0x10000) if not 0xD800 <= k < 0xE000]
+    texts = [glue.join(every[k : k + 1024]) for glue in ("x", "") for k in range(0, len(every), 1024)] + ["", " ", "a \u3000\t b ", "\U0001d538 ٣"]
+    same = lambda c: c
+    cut = lambda c, chars, by="": F.regexp_replace(c, chars, by)
+    folded = lambda c: F.translate(F.translate(cut(c, f"[{cs.DIACRITICS_NORMALISE}]"), *cs.UNIFY), cs.ARABIC_DIGITS, "0123456789")
+    spaced = lambda c: cut(cut(c, r"(?U)\s+", " "), r"(?U)^\s+|\s+$")
+    normal = lambda c: spaced(folded(cut(c, f"[{cs.OCR_PUNCTUATION}]", " ")))
+    assert of(spark, lambda c: tx.normalise(c, compose=same), *texts) == of(spark, normal, *texts)
+    assert of(spark, lambda c: tx.normalise(c, False, same), *texts) == of(spark, lambda c: spaced(folded(c)), *texts)
+    assert of(spark, lambda c: tx.skeleton(c, same), *texts) == of(spark, lambda c: cut(normal(cut(c, f"[{cs.DIACRITICS_PROOF}]")), " "), *texts)
+    key = lambda c: F.translate(cut(cut(c, f"[{cs.DIACRITICS_LAYOUT}]"), f"(?U)[{cs.LAYOUT_PUNCTUATION}]+"), *cs.UNIFY_LAYOUT)
+    assert of(spark, lambda c: tx.layout_key(c, same), *texts) == of(spark, key, *texts)
+
+
+@pytest.mark.parametrize("fold", [tx.normalise, tx.skeleton, tx.layout_key])
+def test_folds_take_few_passes(spark, fold):
+    """Each rule was a pass of its own over the text, up to seven of them."""
+    plan = spark.createDataFrame([("a",)], "a string").select(fold(F.col("a"), compose=lambda c: c).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace(") + plan.count("translate(") <= 2
+
+
+def test_runs_of_spaces(spark):
+    """Each of the run's places was a place to part dots from white space."""
+    assert of(spark, tx.layout_key, "." + " " * 200_000 + "x", "." + " ." * 9 + " \t\n") == ["x", tx.DOTS_KEY]
+
+
+def test_latin_letters_are_composed():
+    """What nfc keeps from Python is in the form."""
+    low = [chr(k) for k in range(0x300)]
+    assert all(unicodedata.is_normalized("NFC", a + b) for a in low for b in low)
